@@ -1,16 +1,16 @@
 """The one Python step: read HTML once and return the texts the rules ask for.
 
 Class selectors with nesting cannot be written as Spark expressions, so an
-Arrow-batched map parses each page a single time and returns, per rule, the
+Arrow-batched map scans each page a single time and returns, per rule, the
 list of texts it matched. Everything after that (fallbacks, clean-up, defaults)
 is Spark code in ``operators.fields``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from html import unescape
-from html.parser import HTMLParser
 
 import pyarrow as pa
 
@@ -20,92 +20,120 @@ _VOID = frozenset(
 # An opening tag of these closes an open one of the same name.
 _SELF_CLOSING = frozenset(("li", "p", "option", "tr", "td", "th", "dt", "dd"))
 
+_IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_TOKEN = re.compile(
+    rf"""(?P<text>(?:[^<]++|<(?![a-zA-Z/!?]))++)
+    |<(?P<raw>script|style)\b(?P<raw_attrs>{_IN_TAG})>(?P<body>.*?)(?:</(?P=raw)[^>]*>|\Z)
+    |<(?P<open>[a-zA-Z][^\s/>]*+)(?P<attrs>{_IN_TAG})>
+    |</(?P<close>[a-zA-Z][^\s/>]*+)[^>]*+>
+    |<!--.*?(?:-->|\Z)
+    |<[!?/][^>]*+>""",
+    re.VERBOSE | re.DOTALL | re.IGNORECASE,
+)
+_ATTRIBUTE = re.compile(
+    r"""(?<![^\s"'/])(class|id|href)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE
+)
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """The attributes that rules look at; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, double, single, bare in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), unescape(double or single or bare))
+    return found
 
-class Page(HTMLParser):
+
+class Page:
     """Elements of one page in document order, with the texts in and below each."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.tags: list[str] = []
-        self.attrs: list[dict[str, str]] = []
-        self.parents: list[int] = []
-        self.own: list[list[str]] = []  # texts directly inside an element
+        # Element 0 is the page itself.
+        self.tags = ["#root"]
+        self.parents = [-1]
+        self.own: list[list[str]] = [[]]  # texts directly inside an element
+        self._attrs: dict[int, dict[str, str]] = {}
         self._texts: list[str] = []  # all texts of the page
-        self._text_span: list[list[int]] = []
-        self._end: list[int] = []  # first element after the subtree
+        self._text_from = [0]
+        self._text_to: dict[int, int] = {}
+        self._end: dict[int, int] = {}  # first element after the subtree
         self._by_tag: dict[str, list[int]] = {}
         self._by_class: dict[str, list[int]] = {}
-        self._open: list[int] = []
-        self._pending: list[str] = []
-        self._add("#root", {}, -1)
-        self.feed(html)
-        self.close()
-        self._flush()
-        while self._open:
-            self._close_top()
-
-    def _add(self, tag: str, attrs: dict[str, str], parent: int) -> None:
+        self._scan(html)
+
+    def _scan(self, html: str) -> None:
+        is_open = [0]
+        for token in _TOKEN.finditer(html):
+            kind = token.lastgroup
+            if kind == "text":
+                self._text(token["text"], is_open[-1])
+            elif kind == "attrs":
+                tag = token["open"].lower()
+                if tag in _SELF_CLOSING and self.tags[is_open[-1]] == tag:
+                    self._close(is_open.pop())
+                is_open.append(self._add(tag, token["attrs"], is_open[-1]))
+                if tag in _VOID:
+                    self._close(is_open.pop())
+            elif kind == "close":
+                tag = token["close"].lower()
+                for depth in range(len(is_open) - 1, 0, -1):
+                    if self.tags[is_open[depth]] == tag:
+                        while len(is_open) > depth:
+                            self._close(is_open.pop())
+                        break
+            elif kind == "body":
+                i = self._add(token["raw"].lower(), token["raw_attrs"], is_open[-1])
+                if token["body"]:
+                    self._text(token["body"], i)
+                self._close(i)
+        while is_open:
+            self._close(is_open.pop())
+
+    def _add(self, tag: str, attributes: str, parent: int) -> int:
         i = len(self.tags)
         self.tags.append(tag)
-        self.attrs.append(attrs)
         self.parents.append(parent)
         self.own.append([])
-        self._text_span.append([len(self._texts), 0])
-        self._end.append(0)
-        self._open.append(i)
-        self._by_tag.setdefault(tag, []).append(i)
-        value = attrs.get("class", "")
-        for name in {value, *value.split()}:
-            self._by_class.setdefault(name, []).append(i)
-
-    def _flush(self) -> None:
-        if self._pending:
-            text = "".join(self._pending)
-            self._pending.clear()
-            self._texts.append(text)
-            self.own[self._open[-1]].append(text)
-
-    def _close_top(self) -> None:
-        top = self._open.pop()
-        self._text_span[top][1] = len(self._texts)
-        self._end[top] = len(self.tags)
-
-    def handle_starttag(self, tag, attrs):
-        self._flush()
-        if tag in _SELF_CLOSING and self.tags[self._open[-1]] == tag:
-            self._close_top()
-        self._add(tag, {k: v or "" for k, v in attrs}, self._open[-1])
-        if tag in _VOID:
-            self._close_top()
-
-    def handle_endtag(self, tag):
-        self._flush()
-        if any(self.tags[i] == tag for i in self._open):
-            while self.tags[self._open[-1]] != tag:
-                self._close_top()
-            self._close_top()
-
-    def handle_data(self, data):
-        self._pending.append(data)
-
-    def handle_comment(self, data):
-        self._flush()
+        self._text_from.append(len(self._texts))
+        if "=" in attributes:
+            found = self._attrs[i] = _attributes(attributes)
+            value = found.get("class", "")
+            for name in {value, *value.split()}:
+                self._by_class.setdefault(name, []).append(i)
+        return i
+
+    def _text(self, text: str, owner: int) -> None:
+        if "&" in text:
+            text = unescape(text)
+        self._texts.append(text)
+        self.own[owner].append(text)
+
+    def _close(self, i: int) -> None:
+        self._text_to[i] = len(self._texts)
+        self._end[i] = len(self.tags)
 
     def tagged(self, tag: str, under: int = 0) -> list[int]:
         """Elements with a tag name below ``under``, in document order."""
-        return [i for i in self._by_tag.get(tag, ()) if under < i < self._end[under]]
+        if tag not in self._by_tag:
+            self._by_tag[tag] = [i for i, t in enumerate(self.tags) if t == tag]
+        end = self._end[under]
+        return [i for i in self._by_tag[tag] if under < i < end]
 
     def classed(self, name: str, under: int = 0) -> list[int]:
         """Elements with ``name`` as one class or as their whole class value."""
-        return [i for i in self._by_class.get(name, ()) if under < i < self._end[under]]
+        end = self._end[under]
+        return [i for i in self._by_class.get(name, ()) if under < i < end]
 
     def value(self, i: int, attribute: str) -> str:
-        return self.attrs[i].get(attribute, "")
+        """A class, id or href; empty where the element has none."""
+        return self._attrs[i].get(attribute, "") if i in self._attrs else ""
+
+    def with_id(self, name: str) -> list[int]:
+        """Elements with an id."""
+        return [i for i, found in self._attrs.items() if found.get("id") == name]
 
     def texts(self, i: int) -> list[str]:
         """All texts below an element, in order."""
-        first, end = self._text_span[i]
-        return self._texts[first:end]
+        return self._texts[self._text_from[i] : self._text_to[i]]
 
     def squeezed(self, i: int) -> str:
         """All texts below an element, each stripped, run together."""
@@ -115,19 +143,24 @@ class Page(HTMLParser):
 Rule = Callable[[Page], list[str]]
 
 
+def _occurs(html: str, markers: tuple[str, ...]) -> bool:
+    if any(m in html for m in markers):
+        return True
+    return "&" in html and any(m in unescape(html) for m in markers)
+
+
 def match_rules(
     batches: Iterator[pa.RecordBatch], rules: dict[str, Rule], markers: tuple[str, ...]
 ) -> Iterator[pa.RecordBatch]:
     """Replace the ``html`` column by one list-of-text column per rule.
 
     ``markers`` are strings of which a page must contain one, after entities are
-    decoded, for any rule to match; a page without them is not parsed.
+    decoded, for any rule to match; a page without them is not scanned.
     """
     for batch in batches:
         found: dict[str, list[list[str]]] = {name: [] for name in rules}
         for html in batch.column("html").to_pylist():
-            plain = unescape(html) if html and "&" in html else html
-            page = Page(html) if plain and any(m in plain for m in markers) else None
+            page = Page(html) if html and _occurs(html, markers) else None
             for name, rule in rules.items():
                 found[name].append(rule(page) if page else [])
         kept = [n for n in batch.schema.names if n != "html"]

@@ -1,4 +1,4 @@
-"""Text to number without ever raising.
+"""Text to number without ever raising (F10-F13), as SQL text.
 
 ANSI mode stays on. ``loose_*`` read what Spark's pre-ANSI cast read and give
 null for the rest; ``strict_*`` accept the texts a strict parser would accept.
@@ -6,46 +6,53 @@ null for the rest; ``strict_*`` accept the texts a strict parser would accept.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from shelfmark.functions.text import lit, remove, strip
 
-from shelfmark.functions.text import strip
+_B = r"[\x00-\x20\x7f]*"  # blanks and control characters a cast ignores
+_DECIMAL = lit(rf"^{_B}([+-]?)([0-9]*)[.][0-9]*{_B}$")
+_DOUBLE = lit(
+    rf"(?i)^{_B}[+-]?(nan|inf(inity)?|([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?[df]?"
+    rf"|0x[0-9a-f]*[.]?[0-9a-f]*p[+-]?[0-9]+[df]?){_B}$"
+)
+_STRICT_INT = lit(r"^[+-]?[0-9]+(_[0-9]+)*$")
+_STRICT_FLOAT = lit(r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$")
 
-# Blanks and control characters that a cast ignores at both ends.
-_CAST_BLANKS = "".join(map(chr, range(0, 33))) + "\x7f"
 
-_LOOSE_INT = r"^([+-]?[0-9]+)([.][0-9]*)?$"
-_NO_WHOLE_PART = r"^[+-]?[.][0-9]*$"
-_STRICT_INT = r"^[+-]?[0-9]+(_[0-9]+)*$"
-_STRICT_FLOAT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+def loose_int(c: str) -> str:
+    """Cut the fraction off; null for exponents, blanks, overflow and words.
 
+    A text with a point is rewritten to its whole part, with a zero in front
+    for texts that have none.
+    """
+    return f"try_cast(regexp_replace({c}, {_DECIMAL}, '$10$2') AS INT)"
 
-def loose_int(c: Column) -> Column:
-    """Cut the fraction off; null for exponents, blanks, overflow and words."""
-    t = F.btrim(c, F.lit(_CAST_BLANKS))
-    whole = F.regexp_extract(t, _LOOSE_INT, 1).try_cast("int")
-    return F.when(F.rlike(t, F.lit(_NO_WHOLE_PART)), F.lit(0)).otherwise(whole)
 
+def loose_double(c: str) -> str:
+    """Null for anything that is not a number.
 
-def loose_double(c: Column) -> Column:
-    """Null for anything that is not a number."""
-    return c.try_cast("double")
+    The pattern lets through all that the cast reads. A failing cast costs an
+    exception per row, so words are kept away from it.
+    """
+    return f"CASE WHEN {c} RLIKE {_DOUBLE} THEN try_cast({c} AS DOUBLE) END"
 
 
-def strict_int(c: Column) -> Column:
+def strict_int(c: str) -> str:
     """Whole numbers only; a null here rejects the row."""
     t = strip(c)
-    return F.when(
-        F.rlike(t, F.lit(_STRICT_INT)), F.replace(t, F.lit("_"), F.lit("")).try_cast("int")
-    )
+    return f"CASE WHEN {t} RLIKE {_STRICT_INT} THEN try_cast({remove(t, '_')} AS INT) END"
 
 
-def strict_double(c: Column) -> Column:
+def strict_double(c: str) -> str:
     """Plain or scientific numbers only, no type suffix; a null rejects the row."""
     t = strip(c)
-    return F.when(F.rlike(t, F.lit(_STRICT_FLOAT)), t.try_cast("double"))
+    return f"CASE WHEN {t} RLIKE {_STRICT_FLOAT} THEN try_cast({t} AS DOUBLE) END"
 
 
-def is_digits(c: Column) -> Column:
+def is_digits(c: str) -> str:
     """Whole text is decimal digits."""
-    return F.rlike(c, F.lit("^[0-9]+$"))
+    return f"{c} RLIKE '^[0-9]+$'"
+
+
+def zero_if_absent(c: str, value: str) -> str:
+    """0 where the text itself is null."""
+    return f"CASE WHEN {c} IS NULL THEN 0 ELSE {value} END"

@@ -1,26 +1,27 @@
-"""Clean-up of the texts a page gives for its fields.
+"""Clean-up of the texts a page gives for its fields.
 
-Column in, column out, all native. Each function takes the text of the page's
-labelled node and, where the field has one, the text of an older template.
+SQL text in, SQL text out. Each function takes the text of the page's labelled
+node and, where the field has one, the text of its fallback nodes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from shelfmark.functions.text import (
     after_last,
     before_first,
     blank_to_null,
     first_token,
+    given,
     last_token,
     money,
     or_missing,
+    reasons,
     remove,
     strip,
 )
-from shelfmark.schema import MISSING, RAW_FIELDS
+from shelfmark.schema import RAW_FIELDS
 
 # Label and words around a size, a page count and a weight.
 SIZE_LABEL = "Khuôn Khổ"
@@ -28,138 +29,117 @@ SIZE_UNIT = "cm"
 PAGE_WORDS = ("~", "trang/cuốn", "trang")
 WEIGHT_UNIT = "gram"
 
+# Texts that cannot be read: the field is null, the row stays, with a reason.
+UNREADABLE = [
+    ("unreadable_units", "units_sold IS NULL"),
+    ("unreadable_size", "width_cm IS NULL"),
+    ("unreadable_weight", "weight_g IS NULL"),
+]
 
-def reasons(*rules: tuple[str, Column]) -> Column:
-    """Array of the names whose condition holds, in the order given."""
-    named = [F.when(test, F.lit(name)) for name, test in rules]
-    return F.array_compact(F.array(*named))
 
-
-def text(c: Column) -> Column:
+def text(c: str) -> str:
     """A plain field: stripped, MISSING when the node is absent."""
-    return strip(F.coalesce(c, F.lit(MISSING)))
+    return strip(given(c))
 
 
-def text_chain(first: Column, other: Column | None = None) -> Column:
+def text_chain(first: str, *others: str) -> str:
     """A field with fallbacks; blank counts as absent."""
-    steps = [blank_to_null(strip(first))]
-    if other is not None:
-        steps.append(blank_to_null(other))
-    return F.coalesce(*steps, F.lit(MISSING))
+    return or_missing(strip(first), *others)
 
 
-def units_sold(c: Column) -> Column:
+def units_sold(c: str) -> str:
     """Last token; the default marker is cut like any text. Null if blank."""
-    return last_token(F.coalesce(c, F.lit(MISSING)))
+    return last_token(given(c))
 
 
-def price(c: Column) -> Column:
+def price(c: str) -> str:
     """Price without currency sign and commas."""
-    return money(F.coalesce(c, F.lit(MISSING)))
+    return money(given(c))
 
 
-def audience(first: Column, other: Column | None = None) -> Column:
+def audience(first: str, *others: str) -> str:
     """Text before the bracket."""
-    steps = [blank_to_null(strip(before_first(strip(first), "(")))]
-    if other is not None:
-        steps.append(blank_to_null(strip(before_first(other, "("))))
-    return F.coalesce(*steps, F.lit(MISSING))
+    cut = [strip(before_first(c, "(")) for c in (strip(first), *others)]
+    return or_missing(*cut)
 
 
-def size_text(c: Column, label: str) -> Column:
+def size_text(c: str, label: str = "") -> str:
     """Size without its label and unit (X9); null stays null."""
     return strip(remove(strip(c), *([f"{label}:"] if label else []), SIZE_UNIT))
 
 
-def dimensions(size: Column) -> tuple[Column, Column, Column]:
-    """Width, length, and whether the text could be read.
-
-    Split on ``x``, else on ``-``; a single value is the width. Three parts
-    cannot be read: both are null.
-    """
-    size = F.coalesce(size, F.lit(MISSING))
-    parts = F.when(F.contains(size, F.lit("x")), F.split(size, "x", -1)).otherwise(
-        F.split(size, "-", -1)
-    )
-    readable = F.size(parts) <= 2
-    part = lambda n: F.when(
-        readable, or_missing(strip(F.try_element_at(parts, F.lit(n))))
+def size_parts(size: str) -> str:
+    """Array of the parts around ``x``, else around ``-``."""
+    size = given(size)
+    return (
+        f"CASE WHEN contains({size}, 'x') THEN split({size}, 'x', -1) "
+        f"ELSE split({size}, '-', -1) END"
     )
-    return part(1), part(2), readable
 
 
-def page_text(c: Column, labelled: bool = True) -> Column:
+def dimension(parts: str, n: int) -> str:
+    """Part 1 is the width, part 2 the length. Three parts cannot be read: null."""
+    part = or_missing(strip(f"try_element_at({parts}, {n})"))
+    return f"CASE WHEN size({parts}) <= 2 THEN {part} END"
+
+
+def page_text(c: str, labelled: bool = True) -> str:
     """Page count text without the words around it (X11)."""
     plain = remove(strip(c), *PAGE_WORDS)
     return strip(after_last(plain, ":") if labelled else plain)
 
 
-def page_count(first: Column, other: Column | None = None) -> Column:
-    steps = [blank_to_null(page_text(first))]
-    if other is not None:
-        steps.append(blank_to_null(other))
-    return F.coalesce(*steps, F.lit(MISSING))
+def page_count(first: str, *others: str) -> str:
+    return or_missing(page_text(first), *others)
 
 
-def binding(first: Column, other: Column | None = None, trim: bool = False) -> Column:
+def binding(first: str, *others: str, trim: bool = False) -> str:
     """Text after the last colon; its leading blank stays unless ``trim``."""
     value = after_last(strip(first), ":")
-    steps = [blank_to_null(strip(value) if trim else value)]
-    if other is not None:
-        steps.append(blank_to_null(other))
-    return F.coalesce(*steps, F.lit(MISSING))
+    return or_missing(strip(value) if trim else value, *others)
 
 
-def without_unit(c: Column) -> Column:
+def without_unit(c: str) -> str:
     """Weight text of the fallback nodes."""
     return strip(remove(c, WEIGHT_UNIT))
 
 
-def weight(first: Column, other: Column | None = None) -> tuple[Column, Column]:
-    """First token after the last colon, and whether there was one."""
-    stated = blank_to_null(first)
-    token = first_token(after_last(strip(stated), ":"))
-    rest = F.lit(MISSING)
-    if other is not None:
-        rest = F.coalesce(blank_to_null(other), rest)
-    return F.when(stated.isNotNull(), token).otherwise(rest), stated.isNull() | token.isNotNull()
+def weight(first: str, other: str = "NULL") -> str:
+    """First token after the last colon; null if the label has nothing after it."""
+    token = first_token(after_last(strip(first), ":"))
+    return f"CASE WHEN {first} <> '' THEN {token} ELSE {or_missing(other)} END"
 
 
 def clean_record(raw: DataFrame) -> DataFrame:
     """Page texts to the sixteen fields of a record.
 
-    Input columns end in ``_text`` where the page gives a labelled or formatted
-    text. Other columns are kept in front; ``reasons`` lists unreadable texts.
+    Input columns end in ``_text``. Other columns are kept in front; ``reasons``
+    lists unreadable texts.
     """
-    col = F.col
-    width, length, size_ok = dimensions(size_text(blank_to_null(col("size_text")), SIZE_LABEL))
-    grams, weight_ok = weight(col("weight_text"))
-    units = units_sold(col("units_text"))
-    columns = {
-        "title": text(col("title_text")),
-        "authors": text(col("authors_text")),
-        "units_sold": units,
-        "sale_price": price(col("sale_text")),
-        "list_price": price(col("list_text")),
-        "sku": text(col("sku_text")),
-        "isbn": text_chain(col("isbn_text")),
-        "audience": audience(col("audience_text")),
-        "length_cm": length,
-        "width_cm": width,
-        "page_count": page_count(col("pages_text")),
-        "binding": binding(col("binding_text")),
-        "weight_g": grams,
-        "series": text_chain(col("series_text")),
-        "category": text(col("category_text")),
-        "description": strip(F.coalesce(col("description_text"), F.lit(""))),
+    fields = {
+        "title": text("title_text"),
+        "authors": text("authors_text"),
+        "units_sold": units_sold("units_text"),
+        "sale_price": price("sale_text"),
+        "list_price": price("list_text"),
+        "sku": text("sku_text"),
+        "isbn": text_chain("isbn_text"),
+        "audience": audience("audience_text"),
+        "length_cm": dimension("_parts", 2),
+        "width_cm": dimension("_parts", 1),
+        "page_count": page_count("pages_text"),
+        "binding": binding("binding_text"),
+        "weight_g": weight("weight_text"),
+        "series": text_chain("series_text"),
+        "category": text("category_text"),
+        "description": strip("coalesce(description_text, '')"),
     }
     kept = [c for c in raw.columns if not c.endswith("_text")]
-    return raw.select(
-        *kept,
-        *[columns[f].alias(f) for f in RAW_FIELDS],
-        reasons(
-            ("unreadable_units", units.isNull()),
-            ("unreadable_size", ~size_ok),
-            ("unreadable_weight", ~weight_ok),
-        ).alias("reasons"),
+    parts = size_parts(size_text(blank_to_null("size_text"), SIZE_LABEL))
+    return (
+        raw.selectExpr("*", f"{parts} AS _parts")
+        .selectExpr(*kept, *[f"{fields[f]} AS {f}" for f in RAW_FIELDS])
+        .selectExpr("*", f"{reasons(UNREADABLE)} AS reasons")
     )
+
+

@@ -21,7 +21,7 @@ v5      0                     0                   digits only; bad price or unit
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.numbers import (
@@ -30,87 +30,69 @@ from shelfmark.functions.numbers import (
     loose_int,
     strict_double,
     strict_int,
+    zero_if_absent,
 )
-from shelfmark.functions.text import remove, strip
-from shelfmark.operators.clean import reasons
+from shelfmark.functions.text import reasons, remove, strip
 from shelfmark.schema import RAW_FIELDS, TYPED_MESSAGE_SCHEMA
 
-POLICIES = ("v1", "v2", "v3", "v4", "v5")
 _PRICES = ("sale_price", "list_price")
 _SIZES = ("length_cm", "width_cm")
+_MUST_READ = [(f"unreadable_{c}", f"{c} IS NULL") for c in ("units_sold", *_PRICES)]
 
+Rules = list[tuple[str, str]]
 
-def _zero_if_absent(c: Column, value: Column) -> Column:
-    return F.when(c.isNull(), F.lit(0)).otherwise(value)
 
-
-def _v1() -> tuple[dict[str, Column], list[tuple[str, Column]]]:
-    col = F.col
-    out = {
-        "units_sold": loose_int(col("units_sold")),
-        "page_count": _zero_if_absent(col("page_count"), loose_int(col("page_count"))),
+def _v1() -> tuple[dict[str, str], Rules]:
+    typed = {
+        "units_sold": loose_int("units_sold"),
+        "page_count": zero_if_absent("page_count", loose_int("page_count")),
     }
     for name in _PRICES:
-        out[name] = loose_double(col(name))
+        typed[name] = loose_double(name)
     for name in (*_SIZES, "weight_g"):
-        out[name] = _zero_if_absent(col(name), loose_double(col(name)))
-    return out, []
-
-
-def _price_or_zero(name: str) -> Column:
-    return _zero_if_absent(F.col(name), strict_double(remove(F.col(name), ",")))
+        typed[name] = zero_if_absent(name, loose_double(name))
+    return typed, []
 
 
-def _units_or_zero() -> Column:
-    return _zero_if_absent(F.col("units_sold"), strict_int(F.col("units_sold")))
-
-
-def _unreadable(out: dict[str, Column]) -> list[tuple[str, Column]]:
-    return [(f"unreadable_{n}", out[n].isNull()) for n in ("units_sold", *_PRICES)]
+def _parsed_late() -> dict[str, str]:
+    """Units and prices of the row loaders, parsed when the row is written."""
+    typed = {"units_sold": zero_if_absent("units_sold", strict_int("units_sold"))}
+    for name in _PRICES:
+        typed[name] = zero_if_absent(name, strict_double(remove(name, ",")))
+    return typed
 
 
-def _v3() -> tuple[dict[str, Column], list[tuple[str, Column]]]:
-    col = F.col
-    out = {
-        "units_sold": _units_or_zero(),
-        "page_count": F.coalesce(loose_int(col("page_count")), F.lit(0)),
-        "weight_g": F.coalesce(loose_int(col("weight_g")), F.lit(0)),
-    }
-    for name in _PRICES:
-        out[name] = _price_or_zero(name)
+def _v3() -> tuple[dict[str, str], Rules]:
+    typed = _parsed_late()
+    for name in ("page_count", "weight_g"):
+        typed[name] = f"coalesce({loose_int(name)}, 0)"
     for name in _SIZES:
-        out[name] = F.coalesce(loose_double(col(name)), F.lit(0.0))
+        typed[name] = f"coalesce({loose_double(name)}, 0)"
     # These texts are read without a default, so an absent one rejects too.
-    absent = [(f"absent_{n}", col(n).isNull()) for n in ("isbn", "binding", "description")]
-    return out, _unreadable(out) + absent
+    absent = [(f"absent_{c}", f"{c} IS NULL") for c in ("isbn", "binding", "description")]
+    return typed, _MUST_READ + absent
 
 
-def _v4(on_insert: bool) -> tuple[dict[str, Column], list[tuple[str, Column]]]:
-    out = {}
+def _v4(on_insert: bool) -> tuple[dict[str, str], Rules]:
+    typed = {}
     for name in ("page_count", "weight_g", *_SIZES):
-        text = F.trim(F.col(name))
+        text = f"trim({name})"
         read = loose_double if name in _SIZES else loose_int
-        value = _zero_if_absent(text, read(text))
-        out[name] = F.coalesce(value, F.lit(0)) if on_insert else value
-    return out, []
-
-
-def _v5() -> tuple[dict[str, Column], list[tuple[str, Column]]]:
-    col = F.col
-    pages = strip(col("page_count"))
-    grams = remove(col("weight_g"), ".")
-    out = {
-        "units_sold": _units_or_zero(),
-        "page_count": F.when(is_digits(pages), pages.try_cast("int")).otherwise(0),
-        "weight_g": F.when(is_digits(grams), grams.try_cast("int")).otherwise(0),
-    }
-    for name in _PRICES:
-        out[name] = _price_or_zero(name)
+        value = zero_if_absent(text, read(text))
+        typed[name] = f"coalesce({value}, 0)" if on_insert else value
+    return typed, []
+
+
+def _v5() -> tuple[dict[str, str], Rules]:
+    pages, grams = strip("page_count"), remove("weight_g", ".")
+    typed = _parsed_late()
+    for name, text in (("page_count", pages), ("weight_g", grams)):
+        typed[name] = f"CASE WHEN {is_digits(text)} THEN try_cast({text} AS INT) ELSE 0 END"
     for name in _SIZES:
-        text = strip(col(name))
-        out[name] = F.when(is_digits(remove(text, ".")), strict_double(text)).otherwise(0.0)
-    bad = [(f"unreadable_{n}", out[n].isNull()) for n in ("page_count", "weight_g", *_SIZES)]
-    return out, _unreadable(out) + bad
+        gate = is_digits(remove(strip(name), "."))
+        typed[name] = f"CASE WHEN {gate} THEN {strict_double(name)} ELSE 0 END"
+    bad = [(f"unreadable_{c}", f"{c} IS NULL") for c in ("page_count", "weight_g", *_SIZES)]
+    return typed, _MUST_READ + bad
 
 
 def coerce(record: DataFrame, policy: str = "v1", on_insert: bool = False) -> DataFrame:
@@ -130,14 +112,16 @@ def coerce(record: DataFrame, policy: str = "v1", on_insert: bool = False) -> Da
     else:
         raise ValueError(f"no record policy {policy!r}")
     kept = [c for c in record.columns if c not in RAW_FIELDS and c != "reasons"]
-    found = reasons(*rules) if rules else F.array().cast("array<string>")
-    if "reasons" in record.columns:
-        found = F.concat(F.col("reasons"), found)
-    return record.select(
-        *kept,
-        *[typed.get(f, F.col(f)).alias(f) for f in RAW_FIELDS],
-        found.alias("reasons"),
-    )
+    fields = [f"{typed[f]} AS {f}" if f in typed else f for f in RAW_FIELDS]
+    found = reasons(rules)
+    if "reasons" not in record.columns:
+        return record.selectExpr(*kept, *fields).selectExpr("*", f"{found} AS reasons")
+    if rules:
+        found = f"concat(reasons, {found})"
+        return record.selectExpr(*kept, *fields, "reasons").selectExpr(
+            *kept, *RAW_FIELDS, f"{found} AS reasons"
+        )
+    return record.selectExpr(*kept, *fields, "reasons")
 
 
 def parse_typed(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -145,10 +129,7 @@ def parse_typed(messages: DataFrame, value: str = "value") -> DataFrame:
     kept = [c for c in messages.columns if c != value]
     data = F.from_json(F.col(value).cast("string"), TYPED_MESSAGE_SCHEMA)
     zeroed = (*_SIZES, "page_count", "weight_g")
-    return messages.select(*kept, data.alias("data")).select(
-        *kept,
-        *[
-            (F.coalesce(F.col(f"data.{f}"), F.lit(0)) if f in zeroed else F.col(f"data.{f}")).alias(f)
-            for f in RAW_FIELDS
-        ],
-    )
+    fields = [
+        f"coalesce(data.{f}, 0) AS {f}" if f in zeroed else f"data.{f} AS {f}" for f in RAW_FIELDS
+    ]
+    return messages.select(*kept, data.alias("data")).selectExpr(*kept, *fields)

@@ -10,14 +10,13 @@ from __future__ import annotations
 from dataclasses import astuple, dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from shelfmark.functions.html import Page, Rule, match_rules
-from shelfmark.functions.text import after_last, blank_to_null, or_missing, strip
+from shelfmark.functions.text import after_last, blank_to_null, given, or_missing, reasons, strip
 from shelfmark.operators import clean
-from shelfmark.schema import MISSING, RAW_FIELDS
+from shelfmark.schema import RAW_FIELDS
 
 
 @dataclass(frozen=True)
@@ -130,8 +129,7 @@ def _second_crumb(page: Page, box: str) -> list[str]:
 
 
 def _under_id(page: Page, element_id: str) -> list[str]:
-    hits = [i for i in range(len(page.tags)) if page.value(i, "id") == element_id]
-    return [t for i in hits for t in page.texts(i)]
+    return [t for i in page.with_id(element_id) for t in page.texts(i)]
 
 
 def product_rules(site: SiteProfile) -> dict[str, Rule]:
@@ -183,13 +181,17 @@ def match_pages(
     )
 
 
-def _first(name: str) -> Column:
-    return F.try_element_at(F.col(name), F.lit(1))
+def _first(name: str) -> str:
+    return f"try_element_at({name}, 1)"
 
 
-def _chain(name: str) -> Column:
+def _chain(name: str) -> str:
     """Alternate text if its element exists, else the older template's text."""
-    return F.coalesce(_first(f"{name}_alt"), _first(f"{name}_old"))
+    return f"coalesce({_first(f'{name}_alt')}, {_first(f'{name}_old')})"
+
+
+def _joined(name: str) -> str:
+    return f"array_join({name}, ', ')"
 
 
 def extract_fields(pages: DataFrame, site: SiteProfile = SiteProfile()) -> DataFrame:
@@ -199,58 +201,47 @@ def extract_fields(pages: DataFrame, site: SiteProfile = SiteProfile()) -> DataF
     cannot be read gives null and a reason; the row stays.
     """
     keys = [c for c in pages.columns if c != "html"]
-    raw = match_pages(pages, product_rules(site), astuple(site))
-    join = lambda name: F.array_join(F.col(name), ", ")
-
-    width, length, size_ok = clean.dimensions(
-        F.coalesce(
-            clean.size_text(blank_to_null(_first("size")), site.size_label),
-            clean.size_text(_chain("size"), ""),
-        )
+    texts = match_pages(pages, product_rules(site), astuple(site))
+    size = clean.size_text(blank_to_null(_first("size")), site.size_label)
+    other_size = clean.size_text(_chain("size"))
+    other_authors = (
+        f"CASE WHEN size(authors_alt) > 0 THEN {_joined('authors_alt')} "
+        f"ELSE {_first('authors_old')} END"
+    )
+    other_pages = (
+        f"coalesce({clean.page_text(_first('pages_alt'))}, "
+        f"{clean.page_text(_first('pages_old'), labelled=False)})"
+    )
+    other_binding = (
+        f"coalesce({after_last(_first('binding_alt'), ':')}, {_first('binding_old')})"
     )
-    units = clean.units_sold(_first("units"))
-    weight, weight_ok = clean.weight(
-        _first("weight"),
-        F.coalesce(
-            clean.without_unit(after_last(_first("weight_alt"), ":")),
-            clean.without_unit(_first("weight_old")),
-        ),
+    other_weight = (
+        f"coalesce({clean.without_unit(after_last(_first('weight_alt'), ':'))}, "
+        f"{clean.without_unit(_first('weight_old'))})"
     )
-    columns = {
+    fields = {
         "title": clean.text(_first("title")),
-        "authors": F.when(F.size("authors") > 0, strip(join("authors"))).otherwise(
-            or_missing(
-                F.when(F.size("authors_alt") > 0, join("authors_alt")).otherwise(
-                    _first("authors_old")
-                )
-            )
-        ),
-        "units_sold": units,
+        # Linked authors that strip to nothing stay empty.
+        "authors": f"CASE WHEN size(authors) > 0 THEN {strip(_joined('authors'))} "
+        f"ELSE {or_missing(other_authors)} END",
+        "units_sold": clean.units_sold(_first("units")),
         "sale_price": clean.price(_first("sale")),
         "list_price": clean.price(_first("list")),
-        "sku": F.coalesce(_first("sku"), _first("sku_old"), F.lit(MISSING)),
+        "sku": given(f"coalesce({_first('sku')}, {_first('sku_old')})"),
         "isbn": clean.text_chain(_first("isbn"), _first("isbn_old")),
         "audience": clean.audience(_first("audience"), _chain("audience")),
-        "length_cm": length,
-        "width_cm": width,
-        "page_count": clean.page_count(
-            _first("pages"),
-            F.coalesce(
-                clean.page_text(_first("pages_alt")), clean.page_text(_first("pages_old"), False)
-            ),
-        ),
-        "binding": clean.binding(
-            _first("binding"),
-            F.coalesce(after_last(_first("binding_alt"), ":"), _first("binding_old")),
-        ),
-        "weight_g": weight,
+        "length_cm": clean.dimension("_parts", 2),
+        "width_cm": clean.dimension("_parts", 1),
+        "page_count": clean.page_count(_first("pages"), other_pages),
+        "binding": clean.binding(_first("binding"), other_binding),
+        "weight_g": clean.weight(_first("weight"), other_weight),
         "series": clean.text_chain(_first("series"), _chain("series")),
         "category": clean.text(_first("category")),
-        "description": strip(F.array_join("description", " ")),
+        "description": strip("array_join(description, ' ')"),
     }
-    reasons = clean.reasons(
-        ("unreadable_units", units.isNull()),
-        ("unreadable_size", ~size_ok),
-        ("unreadable_weight", ~weight_ok),
+    parts = clean.size_parts(f"coalesce({size}, {other_size})")
+    return (
+        texts.selectExpr("*", f"{parts} AS _parts")
+        .selectExpr(*keys, *[f"{fields[f]} AS {f}" for f in RAW_FIELDS])
+        .selectExpr("*", f"{reasons(clean.UNREADABLE)} AS reasons")
     )
-    return raw.select(*keys, *[columns[c].alias(c) for c in RAW_FIELDS], reasons.alias("reasons"))

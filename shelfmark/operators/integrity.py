@@ -19,8 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import strip
-from shelfmark.operators.clean import reasons
+from shelfmark.functions.text import lit, reasons, strip
 from shelfmark.schema import MISSING, Table
 from shelfmark.session import checkpoint_root
 
@@ -56,7 +55,8 @@ def insert_if_absent(
 
 def dimension(rows: DataFrame, column: str, target: DataFrame | None = None) -> DataFrame:
     """New members of a dimension: distinct stripped names (K3-K5)."""
-    names = rows.select(strip(F.coalesce(F.col(column), F.lit(""))).alias("name"))
+    name = strip(f"coalesce({column}, '')")
+    names = rows.selectExpr(f"{name} AS name")
     return insert_if_absent(names, target, ["name"])
 
 
@@ -136,14 +136,15 @@ def row_reasons(
         for column, most in table.limits:
             if column in rows.columns:
                 limits[column] = min(most, limits.get(column, most))
-    rules = [(f"null_{key}", F.col(key).isNull())]
+    rules = [(f"null_{key}", f"{key} IS NULL")]
     if not keep_missing_key:
-        rules.append((f"missing_{key}", F.col(key) == MISSING))
-    rules += [(f"too_long_{c}", F.char_length(c) > n) for c, n in limits.items()]
-    found = reasons(*rules)
+        rules.append((f"missing_{key}", f"{key} = {lit(MISSING)}"))
+    rules += [(f"too_long_{c}", f"char_length({c}) > {n}") for c, n in limits.items()]
+    found = reasons(rules)
     if "reasons" in rows.columns:
-        found = F.concat("reasons", found)
-    return rows.withColumn("reasons", found)
+        found = f"concat(reasons, {found})"
+    kept = [c for c in rows.columns if c != "reasons"]
+    return rows.selectExpr(*kept, f"{found} AS reasons")
 
 
 def _by_verdict(rows: DataFrame, passed: bool) -> DataFrame:

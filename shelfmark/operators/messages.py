@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.operators.clean import reasons
+from shelfmark.functions.text import reasons
 from shelfmark.schema import RAW_FIELDS, RAW_SCHEMA
 
 _CORRUPT = "_corrupt_record"
@@ -74,20 +74,22 @@ def parse_messages(
     keeps the whole message text under that name.
     """
     kept = [c for c in messages.columns if c != value]
-    text = F.col(value).cast("string")
+    names = schema.fieldNames()
     checked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType(), True)])
-    data = F.from_json(text, checked, {"columnNameOfCorruptRecord": _CORRUPT})
-    names = [f.name for f in schema.fields]
-    parsed = messages.select(*kept, text.alias("_text"), data.alias("data"))
-    no_field = F.coalesce(*[F.col(f"data.{n}").cast("string") for n in names]).isNull()
-    broken = F.col(f"data.{_CORRUPT}").isNotNull()
-    return parsed.select(
-        *kept,
-        *([F.col("_text").alias(keep_as)] if keep_as else []),
-        *[F.col(f"data.{n}").alias(n) for n in names],
-        reasons(
-            ("empty_message", F.col("data").isNull()),
-            ("broken_json", broken),
-            ("no_known_field", F.col("data").isNotNull() & ~broken & no_field),
-        ).alias("reasons"),
+    data = F.from_json("_text", checked, {"columnNameOfCorruptRecord": _CORRUPT})
+    no_field = " AND ".join(f"data.{n} IS NULL" for n in names)
+    rules = [
+        ("empty_message", "data IS NULL"),
+        ("broken_json", f"data.{_CORRUPT} IS NOT NULL"),
+        ("no_known_field", f"data IS NOT NULL AND data.{_CORRUPT} IS NULL AND {no_field}"),
+    ]
+    return (
+        messages.selectExpr(*kept, f"CAST({value} AS STRING) AS _text")
+        .select(*kept, "_text", data.alias("data"))
+        .selectExpr(
+            *kept,
+            *([f"_text AS {keep_as}"] if keep_as else []),
+            *[f"data.{n} AS {n}" for n in names],
+            f"{reasons(rules)} AS reasons",
+        )
     )

@@ -19,7 +19,7 @@ def book_author(typed: DataFrame, blank: bool = False) -> DataFrame:
     ``blank`` keeps empty texts, as the variants do that only test for null.
     """
     rows = typed.select(*BOOK_AUTHOR.column_names).where(F.col("authors").isNotNull())
-    return rows if blank else rows.where(strip(F.col("authors")) != "")
+    return rows if blank else rows.where(f"{strip('authors')} <> ''")
 
 
 def detail(typed: DataFrame, audience: bool = True) -> DataFrame:

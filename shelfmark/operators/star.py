@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shelfmark.functions.text import strip
 from shelfmark.operators.coerce import coerce
@@ -25,13 +24,15 @@ _TEXTS = [f for f in RAW_FIELDS if BOOKS.columns.get(f, "string") == "string"]
 
 def trimmed(records: DataFrame) -> DataFrame:
     """Text fields stripped, absent ones empty, as the row writers store them."""
-    texts = {f: strip(F.coalesce(F.col(f), F.lit(""))) for f in _TEXTS}
-    return records.withColumns(texts)
+    texts = {f: strip(f"coalesce({f}, '')") for f in _TEXTS}
+    return records.selectExpr(
+        *[f"{texts[c]} AS {c}" if c in texts else c for c in records.columns]
+    )
 
 
 def checked_books(records: DataFrame, keep_missing_key: bool = False) -> DataFrame:
     """Records under policy v5 with the reasons that refuse a row."""
-    rows = trimmed(coerce(records, "v5")).withColumn("author", F.col("authors"))
+    rows = trimmed(coerce(records, "v5")).selectExpr("*", "authors AS author")
     return row_reasons(rows, (BOOKS, BRIDGE), "sku", keep_missing_key)
 
 

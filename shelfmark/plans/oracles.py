@@ -193,6 +193,15 @@ _PAGE = """WITH found AS (
       '>([^<]+)<', 1) AS texts
   FROM pages)"""
 
+
+
+def _decoded(text: str) -> str:
+    """Entities decoded, the ampersand last; a cut-off one may lack its semicolon."""
+    for entity, char in (("quot", '"'), ("lt", "<"), ("gt", ">"), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{entity};?', '{char}', 'g')"
+    return text
+
+
 # The messages of the quarantine query that are not one readable object.
 _BROKEN = f"""CASE seq % 31 WHEN 1 THEN 'broken_json' WHEN 2 THEN 'empty_message'
   WHEN 3 THEN 'empty_message' WHEN 4 THEN 'broken_json' WHEN 5 THEN 'broken_json'
@@ -250,9 +259,9 @@ SQL: dict[str, str] = {
         coalesce(nullif(array_to_string(nav, ', '), ''), {_M}) AS nav_texts,
         trim(array_to_string(texts, ' ')) AS article_text FROM found""",
     "q_page_tree": f"""{_PAGE} SELECT page_id,
-        replace(title, '&amp;', '&') AS title, replace(trim(nav[2]), '&amp;', '&') AS second_nav,
-        replace(array_to_string(nav, ', '), '&amp;', '&') AS nav_texts,
-        replace(trim(array_to_string(texts, ' ')), '&amp;', '&') AS article_text FROM found""",
+        {_decoded("title")} AS title, {_decoded("trim(nav[2])")} AS second_nav,
+        {_decoded("array_to_string(nav, ', ')")} AS nav_texts,
+        {_decoded("trim(array_to_string(texts, ' '))")} AS article_text FROM found""",
     "q_product_fields": f"""{_WITH} SELECT seq, title, authors, units_sold, sale_price,
         list_price, sku, isbn, audience, length_cm, width_cm, page_count,
         CASE WHEN seq % 3 = 0 THEN binding ELSE trim(binding) END AS binding,

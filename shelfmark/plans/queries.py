@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmark.functions.html import Page
-from shelfmark.functions.text import or_missing, strip
+from shelfmark.functions.text import lit, or_missing, strip
 from shelfmark.operators import clean, integrity, links, messages, outbox, project, star
 from shelfmark.operators.coerce import coerce, parse_typed
 from shelfmark.operators.fields import extract_fields, match_pages
@@ -45,6 +45,8 @@ LISTING = "https://shop.example.com/collections/all?sort_by=best-selling&page="
 SHOP = "https://shop.example.com"
 DOMAINS = ["example.net", "spam-farm.example.org"]
 LINK = '<a href="([^"]*)"'
+NAV_LINK = '<li><a href="[^"]*">([^<]*)</a>'
+LANG = '<html lang="([^"]*)"'
 DOCUMENTS = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -102,23 +104,21 @@ def q_domain_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By pattern, in the JVM: for markup that is told apart by its own tag."""
     pages = read_pages(spark, f"{sf_dir}/pages.parquet")
-    nav = F.regexp_extract_all("html", F.lit(r"<li><a href=\"[^\"]*\">([^<]*)</a>"), F.lit(1))
-    article = F.regexp_extract("html", "(?s)<article>(.*)</article>", 1)
-    texts = F.regexp_extract_all("article", F.lit(">([^<]+)<"), F.lit(1))
-    first = lambda pattern: or_missing(strip(F.regexp_extract("html", pattern, 1)))
-    return pages.select(
+    one = lambda pattern: f"regexp_extract(html, {lit(pattern)}, 1)"
+    every = lambda c, pattern: f"regexp_extract_all({c}, {lit(pattern)}, 1)"
+    return pages.selectExpr(
         "page_id",
-        first("<h1>([^<]*)</h1>").alias("title"),
-        first('<html lang="([^"]*)"').alias("lang"),
-        nav.alias("nav"),
-        F.concat(F.lit(">"), article, F.lit("<")).alias("article"),
-    ).select(
+        f"{or_missing(strip(one('<h1>([^<]*)</h1>')))} AS title",
+        f"{or_missing(strip(one(LANG)))} AS lang",
+        f"{every('html', NAV_LINK)} AS nav",
+        f"concat('>', {one('(?s)<article>(.*)</article>')}, '<') AS article",
+    ).selectExpr(
         "page_id",
         "title",
         "lang",
-        or_missing(strip(F.try_element_at("nav", F.lit(2)))).alias("second_nav"),
-        or_missing(strip(F.array_join("nav", ", "))).alias("nav_texts"),
-        strip(F.array_join(texts, " ")).alias("article_text"),
+        f"{or_missing(strip('try_element_at(nav, 2)'))} AS second_nav",
+        f"""{or_missing(strip("array_join(nav, ', ')"))} AS nav_texts""",
+        f"""{strip(f"array_join({every('article', '>([^<]+)<')}, ' ')")} AS article_text""",
     )
 
 
@@ -139,12 +139,12 @@ def q_page_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nav": partial(_tag_texts, tag="a", inside="nav"),
         "article": partial(_all_texts, tag="article"),
     }
-    return match_pages(pages, rules, ("<h1", "<nav", "<article")).select(
+    return match_pages(pages, rules, ("<h1", "<nav", "<article")).selectExpr(
         "page_id",
-        clean.text(F.try_element_at("h1", F.lit(1))).alias("title"),
-        clean.text(F.try_element_at("nav", F.lit(2))).alias("second_nav"),
-        strip(F.array_join("nav", ", ")).alias("nav_texts"),
-        strip(F.array_join("article", " ")).alias("article_text"),
+        f"{clean.text('try_element_at(h1, 1)')} AS title",
+        f"{clean.text('try_element_at(nav, 2)')} AS second_nav",
+        f"""{strip("array_join(nav, ', ')")} AS nav_texts""",
+        f"""{strip("array_join(article, ' ')")} AS article_text""",
     )
 
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from shelfmark.functions.text import strip
-from shelfmark.operators.clean import reasons
+from shelfmark.functions.text import reasons, strip
 from shelfmark.operators.integrity import good, quarantined
 from shelfmark.schema import CSV_COLUMNS, RAW_FIELDS
 
@@ -22,7 +21,7 @@ def csv_frame(
     if bom:
         labels[0] = _BOM + labels[0]
     fields = [name for name, _ in columns]
-    return records.select(*[strip(F.col(f)).alias(n) for f, n in zip(fields, labels)])
+    return records.selectExpr(*[f"{strip(f)} AS `{n}`" for f, n in zip(fields, labels)])
 
 
 def write_csv(records: DataFrame, path: str, bom: bool = False) -> None:
@@ -64,8 +63,8 @@ def land(records: DataFrame, folder: str, after: int = -1) -> None:
     A record with an absent field fails the first sink and therefore reaches
     none; such records go to ``rejected`` with the reason.
     """
-    rules = [(f"absent_{f}", F.col(f).isNull()) for f in RAW_FIELDS]
-    checked = records.select(*RAW_FIELDS, reasons(*rules).alias("reasons"))
+    rules = [(f"absent_{f}", f"{f} IS NULL") for f in RAW_FIELDS]
+    checked = records.selectExpr(*RAW_FIELDS, f"{reasons(rules)} AS reasons")
     checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         passed = good(checked)
