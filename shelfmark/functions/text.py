@@ -23,7 +23,7 @@ def lit(text: str) -> str:
 
 
 _BLANKS = lit(WHITESPACE)
-_RUN_OF_BLANKS = lit(f"[{WHITESPACE}]+")
+_SPACES = lit(" " * len(WHITESPACE))
 
 
 def strip(c: str) -> str:
@@ -53,14 +53,19 @@ def remove(c: str, *parts: str) -> str:
     return c
 
 
+def _spaced(c: str) -> str:
+    """Stripped text with every blank inside made a plain space."""
+    return f"translate({strip(c)}, {_BLANKS}, {_SPACES})"
+
+
 def first_token(c: str) -> str:
     """First blank-separated token; null for blank text."""
-    return blank_to_null(f"element_at(split({strip(c)}, {_RUN_OF_BLANKS}, 2), 1)")
+    return blank_to_null(f"substring_index({_spaced(c)}, ' ', 1)")
 
 
 def last_token(c: str) -> str:
     """Last blank-separated token; null for blank text."""
-    return blank_to_null(f"element_at(split({strip(c)}, {_RUN_OF_BLANKS}), -1)")
+    return blank_to_null(f"substring_index({_spaced(c)}, ' ', -1)")
 
 
 def after_last(c: str, mark: str) -> str:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import lit, reasons, strip
 from shelfmark.schema import MISSING, Table
-from shelfmark.session import checkpoint_root
+from shelfmark.session import scratch_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row below
 
@@ -66,18 +66,20 @@ def number_rows(
     """Dense ids in order, after a given last id (K6). ``order`` must be unique.
 
     Only the order columns are sorted: by range, into many partitions. Their
-    positions are checkpointed, so the counts and the ids see the same
-    partitions even if executors are lost. The offsets are one row per
+    positions are written to the shared folder, so the counts and the ids see
+    the same partitions even if executors are lost. The offsets are one row per
     partition. The ids come back by a join on the unique order columns.
     """
-    checkpoint_root(rows.sparkSession)
-    placed = (
+    spark = rows.sparkSession
+    path = scratch_dir(spark, "numbered")
+    (
         rows.select(*order)
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
-        .checkpoint()
+        .write.parquet(path)
     )
+    placed = spark.read.parquet(path)
     part = F.shiftright("_at", _LOCAL_BITS)
     local = F.col("_at").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

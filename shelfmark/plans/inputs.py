@@ -110,7 +110,12 @@ def _each(text: Column, open_tag: str, close_tag: str) -> Column:
 
 
 def product_pages(texts: DataFrame, site: SiteProfile = SiteProfile()) -> DataFrame:
-    """HTML per record in one of the site's three templates: ``seq, url, html``."""
+    """HTML per record in one of the site's three templates: ``seq, url, html``.
+
+    The table is a single small file, while scanning a page costs far more than
+    moving its texts: the texts are spread before they become pages.
+    """
+    texts = texts.repartition("seq")
     col = F.col
     value = lambda name, label: F.replace(
         col(name), F.lit(f"{label}:"), F.lit("")

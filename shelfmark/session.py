@@ -22,7 +22,7 @@ DEFAULTS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # HTML rows are large: bound an Arrow batch by bytes, not only by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
-    # Checkpoints of numbered rows go when nothing refers to them any more.
+    # Checkpoints go when nothing refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
