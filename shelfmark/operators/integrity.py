@@ -5,8 +5,8 @@ foreign key check, a rolled-back transaction) become joins here. Three rules
 keep them whole and even under hot keys:
 
 * rows are cut to one per key inside each task before any shuffle by that key;
-* rows that must all be kept are joined on their unique order columns, never on
-  the repeated key;
+* rows that must all be kept are joined on their unique order columns, or with
+  hot keys salted (``skew.salted_join``);
 * joins with data are not hinted: Spark broadcasts a side only when its
   measured size is under the session's threshold, and splits hot partitions
   otherwise. The one hint is on a table of one row per partition.
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import lit, reasons, strip
+from shelfmark.operators.skew import salted_join
 from shelfmark.schema import MISSING, Table
 from shelfmark.session import scratch_dir
 
@@ -38,7 +39,7 @@ def first_wins(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
 
 
 def not_in(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not in the target."""
+    """Rows whose key is not in the target. For rows that hold a key once."""
     return rows.join(target.select(*keys), list(keys), "left_anti")
 
 
@@ -104,25 +105,29 @@ def with_parent(
     """
     keys = [F.col(parent).alias(child) for child, parent in columns.items()]
     known = parents.select(*keys).distinct().withColumn(name, F.lit(True))
-    flagged = children.join(known, list(columns), "left")
+    flagged = salted_join(children, known, list(columns), "left")
     return flagged.select(*children.columns, F.coalesce(name, F.lit(False)).alias(name))
 
 
 def kept_children(children: DataFrame, parents: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Children whose parent exists."""
     keys = [F.col(parent).alias(child) for child, parent in columns.items()]
-    return children.join(parents.select(*keys), list(columns), "left_semi")
+    return salted_join(children, parents.select(*keys), list(columns), "left_semi").select(
+        *children.columns
+    )
 
 
 def orphans(children: DataFrame, parents: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Children whose parent does not exist."""
     keys = [F.col(parent).alias(child) for child, parent in columns.items()]
-    return children.join(parents.select(*keys), list(columns), "left_anti")
+    return salted_join(children, parents.select(*keys), list(columns), "left_anti").select(
+        *children.columns
+    )
 
 
 def cascade_delete(children: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Children left when parents are deleted."""
-    return not_in(children, deleted, keys)
+    return orphans(children, deleted, {k: k for k in keys})
 
 
 def row_reasons(

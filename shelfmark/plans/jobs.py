@@ -9,6 +9,7 @@ from pyspark.storagelevel import StorageLevel
 
 from shelfmark.operators import outbox, star
 from shelfmark.operators.fields import SiteProfile, extract_fields
+from shelfmark.operators.integrity import kept_children
 from shelfmark.operators.links import frontier, normal_url, tile_links
 from shelfmark.operators.messages import publish_frame
 from shelfmark.schema import FIVE_TABLES, RAW_FIELDS, THREE_TABLES
@@ -32,7 +33,8 @@ def crawl(
     that a listing links to, and that were not visited, are extracted.
     """
     wanted = frontier(tile_links(listings, base), visited)
-    pages = landed.withColumn("url", normal_url(landed["url"])).join(wanted, "url", "left_semi")
+    pages = landed.withColumn("url", normal_url(landed["url"]))
+    pages = kept_children(pages, wanted, {"url": "url"})
     land(extract_fields(pages.select("url", "html"), site).select(*RAW_FIELDS), folder)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators import integrity
 from shelfmark.operators.coerce import coerce
+from shelfmark.operators.skew import hot_hashes, salted_join
 from shelfmark.operators.star import book_fact, checked_books, star
 from shelfmark.schema import MISSING, RAW_FIELDS, RAW_SCHEMA, THREE_TABLES
 
@@ -163,3 +164,44 @@ def test_refused_book_leaves_no_dimension(spark):
     assert got["series"] == {("S1",)} and got["author"] == {("A",)}
     assert got["book_author_bridge"] == {("1", "A"), ("4", "A")}
     assert {b[0] for b in got["books"]} == {"1", "4"}
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(spark, how):
+    rows = spark.range(0, 20_000, 1, 12).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 50 = 1 THEN 'gone' WHEN id % 77 = 0 THEN NULL "
+        "ELSE CAST(id % 500 AS STRING) END AS k",
+        "id % 4 AS l",
+        "id",
+    )
+    other = spark.range(300).selectExpr("CAST(id AS STRING) AS k", "id % 4 AS l", "true AS hit")
+    hot = spark.createDataFrame([("hot", i, True) for i in range(4)], "k string, l long, hit boolean")
+    other = other.unionByName(hot)
+    got = salted_join(rows, other, ["k", "l"], how, salts=5)
+    want = rows.join(other, ["k", "l"], how)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_hot_keys_are_found_and_spread(spark):
+    rows = spark.range(0, 90_000, 1, 8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS k"
+    )
+    hot = hot_hashes(rows, ["k"]).first().hot
+    assert hot == [spark.sql("SELECT xxhash64('hot')").first()[0]]
+    assert hot_hashes(rows.limit(0), ["k"]).first().hot == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        other = spark.createDataFrame([("hot", True)], "k string, hit boolean")
+        sizes = (
+            salted_join(rows, other, ["k"], "left")
+            .groupBy(F.spark_partition_id().alias("task"))
+            .agg(F.count_if(F.col("k") == "hot").alias("hot"))
+            .collect()
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r.hot for r in sizes) == 30_000
+    assert max(r.hot for r in sizes) < 30_000 * 0.6
+    assert sum(1 for r in sizes if r.hot) >= 4
