@@ -12,15 +12,22 @@ from shelfmark.schema import RAW_FIELDS, RAW_SCHEMA
 _CORRUPT = "_corrupt_record"
 
 
-def to_message(columns: tuple[str, ...] | list[str] = RAW_FIELDS) -> Column:
-    """One JSON object; null fields are left out, as if the key were absent."""
-    return F.to_json(F.struct(*columns))
+def to_message(
+    columns: tuple[str, ...] | list[str] = RAW_FIELDS, ascii_only: bool = False
+) -> Column:
+    """One JSON object; null fields are left out, as if the key were absent.
+
+    ``ascii_only`` writes other characters as escapes; readers see the same.
+    """
+    options = {"writeNonAsciiCharacterAsCodePoint": str(ascii_only).lower()}
+    return F.to_json(F.struct(*columns), options)
 
 
 def publish_frame(
     records: DataFrame,
     drop: tuple[str, ...] = ("doc_id", "sent"),
     keep: tuple[str, ...] = (),
+    ascii_only: bool = False,
 ) -> DataFrame:
     """Topic rows: no key, one JSON object per record, id and flag removed.
 
@@ -30,7 +37,7 @@ def publish_frame(
     return records.select(
         *keep,
         F.lit(None).cast("binary").alias("key"),
-        to_message(body).cast("binary").alias("value"),
+        to_message(body, ascii_only).cast("binary").alias("value"),
     )
 
 

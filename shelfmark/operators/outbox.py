@@ -34,6 +34,22 @@ def rounds(unsent: DataFrame, size: int = ROUND_SIZE, count: int = ROUNDS) -> Da
     return bounded.withColumn("round", F.floor((place - 1) / size).cast("int"))
 
 
+def bounded_run(
+    documents: DataFrame,
+    delivered: DataFrame | None = None,
+    size: int = ROUND_SIZE,
+    count: int = ROUNDS,
+) -> DataFrame:
+    """Whole documents of one bounded run, with their round.
+
+    Chosen by id and flag alone, so the documents are not shuffled. The ids are
+    at most ``size * count`` rows, which bounds the broadcast.
+    """
+    flags = documents.select("doc_id", "sent")
+    ids = rounds(pending(flags, delivered), size, count).select("doc_id", "round")
+    return documents.join(F.broadcast(ids), "doc_id")
+
+
 def mark_delivered(documents: DataFrame, delivered: DataFrame) -> DataFrame:
     """Documents with the flag set for delivered ids, others as they were (O-MARK, P17)."""
     ids = delivered.select("doc_id").distinct().withColumn("_hit", F.lit(True))

@@ -28,7 +28,17 @@ def detail(typed: DataFrame, audience: bool = True) -> DataFrame:
 
 
 def flat(typed: DataFrame) -> DataFrame:
-    return typed.select(*FLAT.column_names)
+    """All sixteen fields, without the id the table adds."""
+    return typed.select(*[c for c in FLAT.column_names if c != "id"])
+
+
+def with_decimals(typed: DataFrame, precision: int = 18, scale: int = 2) -> DataFrame:
+    """Prices and sizes as exact decimals, for targets that store them so."""
+    exact = ("sale_price", "list_price", "length_cm", "width_cm")
+    kind = f"DECIMAL({precision},{scale})"
+    return typed.selectExpr(
+        *[f"try_cast({c} AS {kind}) AS {c}" if c in exact else c for c in typed.columns]
+    )
 
 
 def renamed(records: DataFrame, names: dict[str, str] = WAREHOUSE_NAMES) -> DataFrame:

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from shelfmark.operators import outbox, star
 from shelfmark.operators.fields import SiteProfile, extract_fields
-from shelfmark.operators.integrity import kept_children
+from shelfmark.operators.integrity import kept_children, number_rows
 from shelfmark.operators.links import frontier, normal_url, tile_links
 from shelfmark.operators.messages import publish_frame
-from shelfmark.schema import FIVE_TABLES, RAW_FIELDS, THREE_TABLES
-from shelfmark.session import checkpoint_root
+from shelfmark.schema import FIVE_TABLES, FLAT, RAW_FIELDS, THREE_TABLES
+from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land
 from shelfmark.sinks.tables import CatalogTables
 from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, parsed
@@ -47,14 +48,18 @@ def relay(
 ) -> None:
     """Unsent documents to the topic, then their ids to the delivered table.
 
-    The batch is checkpointed, so what is marked is exactly what was sent. A
-    failure between the two sends the batch again: at least once.
+    The batch is written to the shared folder first, so what is marked is
+    exactly what was sent. A failure between the two sends the batch again: at
+    least once.
     """
-    checkpoint_root(documents.sparkSession)
-    unsent = outbox.pending(documents, delivered)
+    spark = documents.sparkSession
     if bounded:
-        unsent = outbox.rounds(unsent).drop("round")
-    batch = unsent.checkpoint()
+        unsent = outbox.bounded_run(documents, delivered).drop("round")
+    else:
+        unsent = outbox.pending(documents, delivered)
+    path = scratch_dir(spark, "relay")
+    unsent.write.parquet(path)
+    batch = spark.read.schema(unsent.schema).parquet(path)
     if batch.isEmpty():
         return
     send(publish_frame(batch, keep=("doc_id",)))
@@ -67,6 +72,17 @@ def load_three(messages: DataFrame, tables: CatalogTables, policy: str = "v1") -
     TableSink(tables, policy)(parsed(messages), 0)
 
 
+def load_flat(records: DataFrame, order: list[str], tables: CatalogTables) -> None:
+    """Typed records to the flat table; ids go on after the last one.
+
+    There is no other key, so a second run appends the records again.
+    """
+    spark = records.sparkSession
+    tables.create(spark, (FLAT,))
+    last = tables.read(spark, FLAT).agg(F.max("id")).first()[0] or 0
+    tables.append(number_rows(records, order, "id", last), FLAT)
+
+
 def load_five(records: DataFrame, order: list[str], tables: CatalogTables) -> None:
     """Records to the five tables, parents first; a second run adds nothing.
 

@@ -327,6 +327,8 @@ SQL: dict[str, str] = {
     "q_bridge": f"{_WITH}, {_FIVE} SELECT sku, authors AS author FROM books",
     "q_surrogate_key": f"""{_WITH} SELECT seq, sku, title,
         1000 + row_number() OVER (ORDER BY seq) AS id FROM rec""",
+    "q_serial_books": f"""{_WITH}, {_FIVE}
+        SELECT 500 + row_number() OVER (ORDER BY seq) AS book_id, {_BOOKS[5:]} FROM passed""",
     "q_serial_bridge": f"""{_WITH}, {_FIVE}
         SELECT row_number() OVER (ORDER BY seq) AS book_id, authors AS author FROM passed""",
     "q_fk_orphans": """SELECT l_orderkey, l_linenumber, l_partkey, l_orderkey IN
@@ -376,6 +378,9 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'books', NULL, NULL, {_BOOKS} FROM books
         UNION ALL SELECT 'book_author_bridge', NULL, authors, sku, {_NULLS_OF_BOOKS}
         FROM books""",
+    "j_load_flat": f"""{_WITH}, {_cte("typed", _V1)}, twice AS (
+          SELECT 0 AS run, * FROM typed UNION ALL SELECT 1 AS run, * FROM typed)
+        SELECT row_number() OVER (ORDER BY run, seq) AS id, {_FIELDS} FROM twice""",
     "j_csv": f"""{_WITH} SELECT title, authors, units_sold, sale_price, list_price, sku, isbn,
         audience, length_cm, width_cm, page_count, trim(binding) AS binding, weight_g, series,
         category, description FROM rec""",

@@ -25,6 +25,7 @@ from shelfmark.schema import (
     BOOK_AUTHOR,
     DETAIL,
     FIVE_TABLES,
+    FLAT,
     RAW_FIELDS,
     RAW_SCHEMA,
     THREE_TABLES,
@@ -359,6 +360,11 @@ def q_serial_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.serial_books(checked, ["seq"])[1]
 
 
+def q_serial_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = star.checked_books(inputs.records(spark, sf_dir))
+    return star.serial_books(checked, ["seq"], 500)[0]
+
+
 def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = inputs.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey"
@@ -419,8 +425,7 @@ def q_outbox_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_outbox_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounded = outbox.rounds(outbox.pending(inputs.documents(spark, sf_dir)))
-    return bounded.select("doc_id", "sku", "round")
+    return outbox.bounded_run(inputs.documents(spark, sf_dir)).select("doc_id", "sku", "round")
 
 
 def q_outbox_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -502,6 +507,15 @@ def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole
 
 
+def j_load_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat table after two loads: the second one goes on counting."""
+    location = scratch_dir(spark, "tables")
+    store = CatalogTables(location, f"flat_{location[-8:]}_", buckets=8)
+    for _ in range(2):
+        jobs.load_flat(_typed_v1(spark, sf_dir), ["seq"], store)
+    return store.read(spark, FLAT)
+
+
 def j_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "csv")
     write_csv(inputs.records(spark, sf_dir), path)
@@ -572,6 +586,7 @@ QUERIES: dict[str, Query] = {
     "q_book_fact": q_book_fact,
     "q_bridge": q_bridge,
     "q_surrogate_key": q_surrogate_key,
+    "q_serial_books": q_serial_books,
     "q_serial_bridge": q_serial_bridge,
     "q_fk_orphans": q_fk_orphans,
     "q_fk_children": q_fk_children,
@@ -586,6 +601,7 @@ QUERIES: dict[str, Query] = {
     "s_ingest": s_ingest,
     "j_load_three": j_load_three,
     "tables": tables,
+    "j_load_flat": j_load_flat,
     "j_csv": j_csv,
     "j_json": j_json,
     "j_landing": j_landing,

@@ -275,10 +275,11 @@ SERIAL_BRIDGE = Table(
     limits=(("author", 255),),
 )
 
-# One flat table of all typed fields.
+# One flat table of all typed fields, with a generated id.
 FLAT = Table(
     "books_table",
     {
+        "id": "bigint",
         **{c: "string" for c in RAW_FIELDS},
         "units_sold": "int",
         "page_count": "int",
@@ -288,5 +289,5 @@ FLAT = Table(
         "width_cm": "double",
         "weight_g": "double",
     },
-    key=(),
+    key=("id",),
 )

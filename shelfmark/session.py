@@ -22,8 +22,9 @@ DEFAULTS = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # HTML rows are large: bound an Arrow batch by bytes, not only by rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
-    # Checkpoints go when nothing refers to them any more.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # The JVM never compiles a method over 8000 bytes: long projections run
+    # faster as split expressions than as one generated method above that size.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 

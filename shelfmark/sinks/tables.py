@@ -60,11 +60,18 @@ class JdbcTables:
     _TYPES = {"string": "TEXT", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE PRECISION"}
 
     def __init__(
-        self, url: str, properties: dict[str, str], batch_size: int = 10_000, writers: int = 16
+        self,
+        url: str,
+        properties: dict[str, str],
+        batch_size: int = 10_000,
+        writers: int = 16,
+        splits: dict[str, list[str]] | None = None,
     ):
+        """``splits`` gives, per table, conditions that divide it among reading tasks."""
         self.url = url
         self.properties = {**properties, "batchsize": str(batch_size)}
         self.writers = writers
+        self.splits = splits or {}
 
     def ddl(self, table: Table) -> str:
         limits = dict(table.limits)
@@ -80,7 +87,12 @@ class JdbcTables:
         return f"CREATE TABLE IF NOT EXISTS {table.name} ({', '.join(lines)})"
 
     def read(self, spark: SparkSession, table: Table) -> DataFrame:
-        return spark.read.jdbc(self.url, table.name, properties=self.properties)
+        return spark.read.jdbc(
+            self.url,
+            table.name,
+            predicates=self.splits.get(table.name),
+            properties=self.properties,
+        )
 
     def append(self, rows: DataFrame, table: Table) -> None:
         """Append over at most ``writers`` connections."""

@@ -106,7 +106,7 @@ def test_null_flag_counts_as_unsent(spark):
 
 
 def test_rounds(spark):
-    rows = outbox.rounds(outbox.pending(documents(spark, 600))).collect()
+    rows = outbox.bounded_run(documents(spark, 600)).collect()
     assert len(rows) == 250
     assert {r["round"]: 0 for r in rows} == {n: 0 for n in range(5)}
     assert max(r.doc_id for r in rows) < 376

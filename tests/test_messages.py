@@ -101,3 +101,16 @@ def test_topic_options():
 
 def test_schema_has_sixteen_text_fields():
     assert len(RAW_SCHEMA.fields) == 16
+
+
+def test_ascii_messages(spark):
+    rows = spark.createDataFrame([("ô",)], "title string")
+    assert publish_frame(rows, ascii_only=True).first().value.decode() == '{"title":"\\u00F4"}'
+    assert parse_messages(publish_frame(rows, ascii_only=True)).first().title == "ô"
+
+
+def test_decimals(spark):
+    rows = spark.createDataFrame([("s", 25000.5, None, 1.005, 20.3)],
+        "sku string, sale_price double, list_price double, length_cm double, width_cm double")
+    row = project.with_decimals(rows).first()
+    assert [str(v) for v in row] == ["s", "25000.50", "None", "1.01", "20.30"]
