@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from shelfmark.functions.text import lit, reasons, strip
 from shelfmark.operators.skew import salted_join
@@ -73,13 +74,17 @@ def number_rows(
     """
     spark = rows.sparkSession
     path = scratch_dir(spark, "numbered")
-    (
-        rows.select(*order)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
+    # Persisted, because finding the ranges reads the input once more.
+    narrow = rows.select(*order).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        (
+            narrow.repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .withColumn("_at", F.monotonically_increasing_id())
+            .write.parquet(path)
+        )
+    finally:
+        narrow.unpersist()
     placed = spark.read.parquet(path)
     part = F.shiftright("_at", _LOCAL_BITS)
     local = F.col("_at").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))

@@ -115,7 +115,11 @@ def product_pages(texts: DataFrame, site: SiteProfile = SiteProfile()) -> DataFr
     The table is a single small file, while scanning a page costs far more than
     moving its texts: the texts are spread before they become pages.
     """
-    texts = texts.repartition(texts.sparkSession.sparkContext.defaultParallelism, "seq")
+    spark = texts.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    texts = texts.repartition(tasks, "seq")
     col = F.col
     value = lambda name, label: F.replace(
         col(name), F.lit(f"{label}:"), F.lit("")
