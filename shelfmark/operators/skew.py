@@ -48,8 +48,11 @@ def salted_join(
 
     ``other`` holds the key columns and whatever the join should add. The salt
     is the row's input partition, so copies of one row spread as well, and a
-    task that is run again gives each row the same salt.
+    task that is run again gives each row the same salt. Hashes are equal only
+    for equal types, so the keys of ``other`` take the types of ``rows``.
     """
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    other = other.withColumns({k: F.col(k).try_cast(types[k]) for k in keys})
     hot = hot_hashes(rows, keys).scalar()
     is_hot: Column = F.array_contains(hot, F.xxhash64(*keys))
     salt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))

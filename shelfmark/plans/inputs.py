@@ -179,7 +179,8 @@ def product_pages(texts: DataFrame, site: SiteProfile = SiteProfile()) -> DataFr
         .when(col("seq") % 3 == 1, F.concat(sku, classes))
         .otherwise(oldest)
     )
-    return texts.select("seq", product_path().alias("url"), F.concat(head, body, foot).alias("html"))
+    html = F.concat(head, body, foot)
+    return texts.select("seq", product_path().alias("url"), html.alias("html"))
 
 
 def product_path() -> Column:
@@ -197,12 +198,10 @@ def listing_pages(texts: DataFrame) -> DataFrame:
     )
     tiles = F.array_sort(F.collect_list(F.struct("seq", tile.alias("tile"))))
     body = F.array_join(F.transform(tiles, lambda t: t["tile"]), "")
+    html = F.concat(F.lit('<body><a href="/cart">cart</a>'), "body", F.lit("</body>"))
     return (
         texts.select("seq")
         .groupBy(F.floor(F.col("seq") / TILES).alias("page_id"))
         .agg(body.alias("body"))
-        .select(
-            "page_id",
-            F.concat(F.lit('<body><a href="/cart">cart</a>'), "body", F.lit("</body>")).alias("html"),
-        )
+        .select("page_id", html.alias("html"))
     )

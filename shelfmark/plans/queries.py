@@ -23,7 +23,6 @@ from shelfmark.plans import inputs, jobs
 from shelfmark.schema import (
     BOOK,
     BOOK_AUTHOR,
-    DETAIL,
     FIVE_TABLES,
     FLAT,
     RAW_FIELDS,
@@ -32,7 +31,7 @@ from shelfmark.schema import (
     WAREHOUSE_NAMES,
 )
 from shelfmark.session import scratch_dir
-from shelfmark.sinks.files import csv_frame, land, read_csv, write_csv, write_json
+from shelfmark.sinks.files import land, read_csv, write_csv, write_json
 from shelfmark.sinks.tables import CatalogTables
 from shelfmark.sinks.topic import write_topic_files
 from shelfmark.sources.documents import read_documents

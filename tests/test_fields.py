@@ -1,12 +1,12 @@
 """Field extraction from hand-written pages, and the page scan itself."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfmark.functions.html import Page
 from shelfmark.operators.fields import SiteProfile, extract_fields
 from shelfmark.operators.links import in_domains, normal_url, tile_links
 from shelfmark.schema import MISSING, RAW_FIELDS
-from pyspark.sql import functions as F
 
 OLD = (
     '<div class="field {0} x"><div class="field-items"><div class="field-item even">{1}</div>'
@@ -142,9 +142,10 @@ def test_tile_links(spark):
 
 def test_domains_and_urls(spark):
     urls = ["http://a.com/x#f", "https://B.a.com:8080/", "http://na.com/", "not a url", None]
+    url = F.col("url")
     rows = (
         spark.createDataFrame([(u,) for u in urls], "url string")
-        .select(in_domains(F.col("url"), ["a.com"]).alias("inside"), normal_url(F.col("url")).alias("n"))
+        .select(in_domains(url, ["a.com"]).alias("inside"), normal_url(url).alias("n"))
         .collect()
     )
     assert [r.inside for r in rows] == [True, True, False, False, False]

@@ -46,7 +46,8 @@ def test_binary_values(spark):
 
 
 def test_publish_drops_id_and_flag(spark):
-    rows = spark.createDataFrame([(1, True, "ô", None)], "doc_id int, sent boolean, a string, b string")
+    schema = "doc_id int, sent boolean, a string, b string"
+    rows = spark.createDataFrame([(1, True, "ô", None)], schema)
     row = publish_frame(rows).first()
     assert row.key is None
     assert json.loads(row.value.decode()) == {"a": "ô"}
@@ -110,7 +111,8 @@ def test_ascii_messages(spark):
 
 
 def test_decimals(spark):
-    rows = spark.createDataFrame([("s", 25000.5, None, 1.005, 20.3)],
-        "sku string, sale_price double, list_price double, length_cm double, width_cm double")
+    numbers = ("sale_price", "list_price", "length_cm", "width_cm")
+    schema = ", ".join(["sku string", *[f"{n} double" for n in numbers]])
+    rows = spark.createDataFrame([("s", 25000.5, None, 1.005, 20.3)], schema)
     row = project.with_decimals(rows).first()
     assert [str(v) for v in row] == ["s", "25000.50", "None", "1.01", "20.30"]
