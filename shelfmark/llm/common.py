@@ -80,4 +80,7 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a").where("b <> m").selectExpr("b AS a", "m AS b")
         edges = written(small.union(least.selectExpr("a", "m AS b")).distinct(), "links")
     nodes = edges.selectExpr("a AS node", "b AS component")
-    return nodes.union(edges.selectExpr("b AS node", "b AS component").distinct())
+    # Written, so that a join with it is a join of two shuffles, whose hot keys Spark splits.
+    return written(
+        nodes.union(edges.selectExpr("b AS node", "b AS component").distinct()), "components"
+    )

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfmark.llm.common import table
 
@@ -216,17 +217,8 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model | None:
     return fit([r.text for r in got], [r.lang for r in got])
 
 
-_ANSWER = pa.schema(
-    [
-        ("lang_pred", pa.string()),
-        ("score", pa.float64()),
-        ("accepted", pa.bool_()),
-    ]
-)
-
-
 def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of every row with lang_pred, score and accepted."""
+    """For every row columns ``keep`` as _0, _1, ..., lang_pred, score and accepted."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -252,23 +244,35 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 for i in lettered:
                     accepted[i] = True
             kept = [batch.column(i) for i in range(batch.num_columns - 1)]
-            answers = [pa.array(langs, pa.string()), pa.array(scores), pa.array(accepted)]
-            names = batch.schema.names[:-1] + _ANSWER.names
+            answers = [
+                pa.array(langs, pa.string()),
+                pa.array(scores, pa.float64()),
+                pa.array(accepted, pa.bool_()),
+            ]
+            names = batch.schema.names[:-1] + ["lang_pred", "score", "accepted"]
             yield pa.RecordBatch.from_arrays([*kept, *answers], names=names)
 
-    rows = docs.select(*keep, F.col("text").cast("string").alias("_text"))
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    names = ", ".join([*fields, "lang_pred string", "score double", "accepted boolean"])
-    return rows.mapInArrow(answer, names)
+    # Numbered on the way, so that no column of the table can clash with the answers.
+    kept = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)]
+    rows = docs.select(*kept, F.col("text").cast("string").alias("_text"))
+    schema = StructType(rows.schema.fields[:-1])
+    schema = schema.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
+    return rows.mapInArrow(answer, schema)
 
 
 def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score, accepted."""
     rows = predict(docs, learn(docs, train_docs), ["doc_id"])
-    return rows.withColumn("held_out", held_out()).select(
-        "doc_id", "held_out", "lang_pred", "score", "accepted"
+    return rows.select(
+        F.col("_0").alias("doc_id"), held_out("_0").alias("held_out"), "lang_pred", "score", "accepted"
     )
 
 
+def accepted_rows(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
+    """Rows of ``docs`` that are not rejected."""
+    rows = predict(docs, learn(docs, train_docs), docs.columns).where("accepted")
+    return rows.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
 def op10_language_id(spark, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import bpe, language, mixing, simhash
+from shelfmark.llm import bpe, language, mixing, simhash, suffix
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_bpe": bpe.op9_bpe,
     "op10_language_id": language.op10_language_id,

@@ -305,7 +305,8 @@ def grouped(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -
 def near_copies(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Per row: doc_id, fingerprint, component_id."""
     rows = written(grouped(docs, shingle, max_bits), "grouped")
-    lowest = rows.groupBy("_component").agg(F.min("_key").alias("_lowest"))
+    # Written: Spark splits a hot component only where both sides come from a shuffle.
+    lowest = written(rows.groupBy("_component").agg(F.min("_key").alias("_lowest")), "lowest")
     unsigned = "(_rank ^ (-9223372036854775807L - 1))"
     code = f"({unsigned} ^ shiftrightunsigned({unsigned}, 1))"
     return rows.join(lowest, "_component").select(
