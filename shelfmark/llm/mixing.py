@@ -174,8 +174,8 @@ def sequenced(docs: DataFrame, mixed: DataFrame) -> DataFrame:
         }
     ).join(passes, ["_id", "_text", "_copy"])
     last = "_part > 0 AND (_pass + 1) * _size > _taken"
-    gap, word = r"[\\x20\\x09-\\x0D]", r"[^\\x20\\x09-\\x0D]"
-    cut = f"regexp_extract(text, concat('^(?:{gap}*+{word}++){{', _part, '}}'), 0)"
+    ends = r"(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"
+    cut = f"array_join(slice(split(text, '{ends}'), 1, cast(_part AS int)), '')"
     changed = {"text": f"CASE WHEN {last} THEN {cut} ELSE text END"}
     if "n_chars" in docs.columns:
         changed["n_chars"] = f"CASE WHEN {last} THEN length({cut}) ELSE n_chars END"
