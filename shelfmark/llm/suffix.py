@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import NO_ID, id_from_key, id_key, table, tasks, written
 
 LENGTH = 50
-GRAM = 26
+GRAM = 20
 CROWD = 512  # documents of an anchor above which it is a group of its own
 _LOAD = 1_500_000  # bytes of pieces sorted together
 _SLICE = 1 << 19  # positions whose anchors are sought together
@@ -172,44 +172,59 @@ def _send(length: int, gram: int, buckets: int):
     return run
 
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Tasks: packed anchors of a hash range to (_key, hashes and groups) of shared anchors."""
-    hs, ks = [], []
-    for batch in batches:
-        for data in batch.column(1).to_pylist():
-            n = len(data) // (_HASH_BYTES + 8)
-            hs.append(_unplanes(data[: n * _HASH_BYTES], _HASH_BYTES))
-            ks.append(_unplanes(data[n * _HASH_BYTES :], 8).view(np.int64))
-    if not hs:
-        return
-    h, k = np.concatenate(hs), np.concatenate(ks)
-    hs = ks = None
-    order = np.lexsort((k, h))
-    h, k = h[order], k[order]
-    starts = _runs(h)
-    sizes = np.diff(np.append(starts, len(h)))
-    least, most = k[starts], k[starts + sizes - 1]
-    crowded = sizes > CROWD
-    group = np.where(crowded, h[starts].view(np.int64) * 2 + 1, least * 2)
-    shared = np.repeat(least != most, sizes)
-    h, k, group = h[shared], k[shared], np.repeat(group, sizes)[shared]
-    order = np.argsort(k, kind="stable")
-    h, k, group = h[order], k[order], group[order]
-    if not len(k):
-        return
-    pairs = np.stack([h.view(np.int64), group], axis=1).tobytes()
-    starts = _runs(k)
-    ends = np.append(starts[1:], len(k))
-    for low in range(0, len(starts), 20_000):
-        s, e = starts[low : low + 20_000], ends[low : low + 20_000]
-        data = [pairs[16 * a : 16 * b] for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+def _slots(parts: int) -> int:
+    """The next prime: ids that are multiples of one number still spread."""
+    n = max(parts, 2)
+    while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def _share(slots: int):
+    """Tasks: packed anchors of a hash range to packed (key, hash, group) by slots of the key.
+
+    Of anchors seen in two or more documents only.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hs, ks = [], []
+        for batch in batches:
+            for data in batch.column(1).to_pylist():
+                n = len(data) // (_HASH_BYTES + 8)
+                hs.append(_unplanes(data[: n * _HASH_BYTES], _HASH_BYTES))
+                ks.append(_unplanes(data[n * _HASH_BYTES :], 8).view(np.int64))
+        if not hs:
+            return
+        h, k = np.concatenate(hs), np.concatenate(ks)
+        hs = ks = None
+        order = np.lexsort((k, h))
+        h, k = h[order], k[order]
+        starts = _runs(h)
+        sizes = np.diff(np.append(starts, len(h)))
+        least, most = k[starts], k[starts + sizes - 1]
+        group = np.where(sizes > CROWD, h[starts].view(np.int64) * 2 + 1, least * 2)
+        shared = np.repeat(least != most, sizes)
+        h, k, group = h[shared], k[shared], np.repeat(group, sizes)[shared]
+        slot = k % slots
+        order = np.lexsort((k, slot))
+        h, k, group, slot = h[order], k[order], group[order], slot[order]
+        starts = _runs(slot) if len(slot) else np.empty(0, dtype=np.int64)
+        rows = [
+            _planes(k[a:b].view(np.uint64), 8)
+            + _planes(h[a:b], _HASH_BYTES)
+            + _planes(group[a:b].view(np.uint64), 8)
+            for a, b in zip(starts, np.append(starts[1:], len(slot)), strict=True)
+        ]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(k[s]), pa.array(data, pa.binary())], names=["_key", "_data"]
+            [pa.array(slot[starts].astype(np.int32)), pa.array(rows, pa.binary())],
+            names=["_slot", "_data"],
         )
 
+    return run
+
 
 def _cut(length: int, gram: int):
-    """Tasks: rows sorted by (_key, _kind), texts (0) before shared anchors (1), to pieces.
+    """Tasks: rows sorted by _kind, shared anchors (0) before texts (1), to pieces.
 
     Also hands on the whole text of each document that has a piece (with a null group).
     """
@@ -222,21 +237,21 @@ def _cut(length: int, gram: int):
             ("_data", pa.binary()),
         ]
     )
+    wide = 2 * 8 + _HASH_BYTES
 
-    def pieces(docs: list[tuple[int, int, bytes, np.ndarray]], sieve: _Sieve):
+    def pieces(docs: list[tuple[int, int, bytes, np.ndarray, np.ndarray]], sieve: _Sieve):
         flat, ends = _flat([d[2] for d in docs])
         places, hashes = sieve.anchors(flat, ends)
         owner = np.searchsorted(ends, places, "right")
         begins = np.append(0, ends)[:-1]
         bounds = np.searchsorted(owner, np.arange(len(docs) + 1))
         rows: list[tuple] = []
-        for i, (key, text_hash, text, pairs) in enumerate(docs):
+        for i, (key, text_hash, text, known_h, known_group) in enumerate(docs):
             at = places[bounds[i] : bounds[i + 1]] - begins[i]
-            h = hashes[bounds[i] : bounds[i + 1]].view(np.int64)
-            pairs = pairs[np.argsort(pairs[:, 0])]
-            spot = np.minimum(np.searchsorted(pairs[:, 0], h), len(pairs) - 1)
-            known = pairs[spot, 0] == h
-            at, group = at[known], pairs[spot[known], 1]
+            h = hashes[bounds[i] : bounds[i + 1]]
+            spot = np.minimum(np.searchsorted(known_h, h), len(known_h) - 1)
+            known = known_h[spot] == h
+            at, group = at[known], known_group[spot[known]]
             if not len(at):
                 continue
             rows.append((None, key, text_hash, 0, text))
@@ -259,32 +274,38 @@ def _cut(length: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = _Sieve(length, gram)
-        texts: list[tuple[int, bytes]] = []
-        pairs: list[bytes] = []
-        key, docs, size = None, [], 0
-
-        def close() -> int:
-            if not pairs:
-                return 0
-            known = np.frombuffer(b"".join(pairs), dtype=np.int64).reshape(-1, 2)
-            docs.extend((key, text_hash, text, known) for text_hash, text in texts)
-            return sum(len(t) for _, t in texts)
-
+        packed: list[bytes] = []
+        k = h = group = None
+        docs, size = [], 0
         for batch in batches:
-            for k, kind, text_hash, data in zip(
+            for kind, key, text_hash, data in zip(
                 *(batch.column(i).to_pylist() for i in range(4)), strict=True
             ):
-                if k != key:
-                    size += close()
-                    texts, pairs, key = [], [], k
-                    if size > _LOAD:
-                        yield pieces(docs, sieve)
-                        docs, size = [], 0
-                if kind:
-                    pairs.append(data)
-                elif len(data) >= length:
-                    texts.append((text_hash, data))
-        close()
+                if kind == 0:
+                    packed.append(data)
+                    continue
+                if k is None:
+                    sizes = [len(x) // wide for x in packed]
+                    fields = [(0, 8), (8, _HASH_BYTES), (8 + _HASH_BYTES, 8)]
+                    k, h, group = (
+                        np.concatenate(
+                            [_unplanes(x[a * n : (a + w) * n], w) for x, n in zip(packed, sizes)]
+                            or [np.empty(0, dtype=np.uint64)]
+                        )
+                        for a, w in fields
+                    )
+                    packed = []
+                    k, group = k.view(np.int64), group.view(np.int64)
+                    order = np.lexsort((h, k))
+                    k, h, group = k[order], h[order], group[order]
+                a, b = np.searchsorted(k, key, "left"), np.searchsorted(k, key, "right")
+                if a == b:
+                    continue
+                docs.append((key, text_hash, data, h[a:b], group[a:b]))
+                size += len(data)
+                if size > _LOAD:
+                    yield pieces(docs, sieve)
+                    docs, size = [], 0
         if docs:
             yield pieces(docs, sieve)
 
@@ -502,11 +523,16 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
     anchors = texts.select("_key", "_data").mapInArrow(
         _send(length, gram, parts), "_range int, _data binary"
     )
-    shared = anchors.repartition(parts, "_range").mapInArrow(_shared, "_key long, _data binary")
-    both = texts.selectExpr("_key", "0 AS _kind", "_text", "_data").union(
-        shared.selectExpr("_key", "1 AS _kind", "0L AS _text", "_data")
+    slots = _slots(parts)
+    shared = anchors.repartition(parts, "_range").mapInArrow(
+        _share(slots), "_slot int, _data binary"
+    )
+    both = shared.selectExpr("_slot", "0 AS _kind", "0L AS _key", "0L AS _text", "_data").union(
+        texts.selectExpr(
+            f"cast(pmod(_key, {slots}) AS int) AS _slot", "1 AS _kind", "_key", "_text", "_data"
+        )
     )
-    both = both.repartition(parts, "_key").sortWithinPartitions("_key", "_kind")
+    both = both.repartition(slots, "_slot").sortWithinPartitions("_kind").drop("_slot")
     cut = written(
         both.mapInArrow(
             _cut(length, gram), "_group long, _key long, _text long, _start long, _data binary"
