@@ -35,13 +35,22 @@ from pyspark.sql import functions as F
 from shelfmark.llm.common import table
 
 VOCABULARY = "word_bpe_49k.json"
-KEPT = 250_000  # pieces remembered by a task
+KEPT = 500_000  # pieces remembered by a task
 #: Characters of text whose pieces are encoded together.
 TOGETHER = 4_000_000
 
 #: White space of the vocabulary's patterns.
 _SPACE = "\t\n\v\f\r \x85\xa0  -     　"
 _PIECES = re.compile(f"[^{_SPACE}]+")
+#: The vocabulary's split of a piece, for characters below U+0250.
+_LETTERS = "a-zªµºß-öø-ÿ\u0100-\u024f"
+_NUMBERS = "0-9²³¹¼½¾"
+_LATIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+#: Stand-ins of bytes in byte-level vocabularies: printable ones for themselves, others from U+0100.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_STAND_INS = {b: b for b in _PRINTABLE} | {
+    b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
+}
 #: These end a piece for ``str.split`` but not for the patterns.
 _ODD = re.compile("[\x1c-\x1f]")
 
@@ -73,8 +82,20 @@ class Encoder:
         keys = self.left * self.size + self.right
         self.by_key = np.argsort(keys, kind="stable")
         self.keys = keys[self.by_key]
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, bytes, bytes]] = {}
+        # Symbols of characters inside a pre-token and at its end.
+        top = max(_STAND_INS.values()) + 1
+        self.inner, self.last = np.full(top, -1), np.full(top, -1)
+        for code in _STAND_INS.values():
+            self.inner[code] = self.ids[chr(code)]
+            self.last[code] = self.ids[chr(code) + self.suffix]
+        self.id_text = {i: str(i) for i in self.tokens}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the cache, but for special tokens."""
+        self.pieces = {}
+        self.words = {t: (1, str(i).encode(), t.encode()) for t, i in self.special.items()}
+
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where it does not merge."""
@@ -82,22 +103,18 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[at] == key, self.by_key[at], -1)
 
-    def merged(self, words: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token, by the pair occurrence index."""
-        ids, suffix = self.ids, self.suffix
-        flat: list[int] = []
-        sizes = np.empty(len(words), dtype=np.int64)
-        for i, word in enumerate(words):
-            flat += [ids[c] for c in word[:-1]]
-            flat.append(ids[word[-1] + suffix])
-            sizes[i] = len(word)
-        symbol = np.array(flat, dtype=np.int64)
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens in a row, and the number of each, by the pair occurrence index."""
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
+        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        ends = np.cumsum(sizes)
+        symbol = self.inner[codes]
+        symbol[ends - 1] = self.last[codes[ends - 1]]
         n = len(symbol)
         # One place beyond the end stands for "no neighbour".
         symbol = np.append(symbol, -1)
         after = np.append(np.arange(1, n + 1), n)
         before = np.arange(-1, n)
-        ends = np.cumsum(sizes)
         after[ends - 1] = n
         before[np.concatenate(([0], ends[:-1]))] = n
         before[n] = n
@@ -146,45 +163,59 @@ class Encoder:
             enter(np.unique(np.concatenate((at, left[left != n]))))
         alive = symbol[:n] >= 0
         owner = np.repeat(np.arange(len(words)), sizes)[alive]
-        counts = np.bincount(owner, minlength=len(words))
-        kept = symbol[:n][alive].tolist()
-        out, low = [], 0
-        for count in counts.tolist():
-            out.append(tuple(kept[low : low + count]))
-            low += count
-        return out
+        return symbol[:n][alive], np.bincount(owner, minlength=len(words))
+
+    def split(self, text: str) -> list[str]:
+        """Pre-tokens of a piece without special tokens, in stand-in characters."""
+        if text.isascii() and text.isprintable():
+            plain = text.lower()
+            return [plain] if plain.isalpha() else _LATIN.findall(plain)
+        if max(text) < "\u0250":
+            # Composed already; ByteLevel works on the bytes of each part.
+            found = _LATIN.findall(text.lower())
+            return [w.encode().decode("latin-1").translate(_STAND_INS) for w in found]
+        return [
+            w for w, _ in self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))
+        ]
 
     def learn(self, pieces: set[str]) -> None:
         """Encode and decode pieces not seen before, and remember them."""
-        parts: dict[str, list[int | str]] = {}
+        known, special = self.words, self.special
+        parts: dict[str, list[str]] = {}
         new: set[str] = set()
         for piece in pieces:
-            found: list[int | str] = []
-            for text in self.at_special.split(piece) if "<|" in piece else (piece,):
-                if text in self.special:
-                    found.append(self.special[text])
-                elif text:
-                    plain = (
-                        text.lower() if text.isascii() else self.normalizer.normalize_str(text)
-                    )
-                    if plain.isascii() and plain.isalpha():
-                        found.append(plain)
-                    else:
-                        found += [w for w, _ in self.splitter.pre_tokenize_str(plain)]
+            if "<|" in piece:
+                found: list[str] = []
+                for text in self.at_special.split(piece):
+                    found += (text,) if text in special else self.split(text) if text else ()
+            else:
+                found = self.split(piece)
             parts[piece] = found
-            new.update(w for w in found if isinstance(w, str) and w not in self.words)
-        words = list(new)
-        self.words.update(zip(words, self.merged(words), strict=True)) if words else None
-        tokens = self.tokens
+            new.update(found)
+        words = [w for w in new if w not in known]
+        if words:
+            ids, counts = self.merged(words)
+            ends = np.cumsum(counts).tolist()
+            as_text = [self.id_text[i] for i in ids.tolist()]
+            as_token = [self.tokens[i] for i in ids.tolist()]
+            low = 0
+            for word, high in zip(words, ends, strict=True):
+                known[word] = (
+                    high - low,
+                    " ".join(as_text[low:high]).encode(),
+                    " ".join(as_token[low:high]).encode(),
+                )
+                low = high
         for piece, found in parts.items():
-            ids: list[int] = []
-            for x in found:
-                ids += (x,) if isinstance(x, int) else self.words[x]
-            self.pieces[piece] = (
-                len(ids),
-                " ".join(map(str, ids)).encode(),
-                " ".join([tokens[i] for i in ids]).encode(),
-            )
+            if len(found) == 1:
+                self.pieces[piece] = known[found[0]]
+            else:
+                got = [known[w] for w in found]
+                self.pieces[piece] = (
+                    sum([x[0] for x in got]),
+                    b" ".join([x[1] for x in got]),
+                    b" ".join([x[2] for x in got]),
+                )
 
     def cut(self, text: str) -> list[str]:
         return _PIECES.findall(text) if _ODD.search(text) else text.split()
@@ -197,7 +228,7 @@ class Encoder:
             new.update(pieces)
         new.difference_update(self.pieces)
         if len(self.pieces) + len(new) > KEPT:
-            self.pieces, self.words = {}, {}
+            self.forget()
             new = set().union(*cut)
         if new:
             self.learn(new)
