@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import bpe, language, mixing, pages, quality, simhash, suffix, tokencount
+from shelfmark.llm import bpe, hnsw, language, mixing, pages, quality, simhash, suffix, tokencount
 
 QUERIES = {
     "op1_token_counts": tokencount.op1_token_counts,
     "op2_simhash": simhash.op2_simhash,
     "op3_quality_rules": quality.op3_quality_rules,
+    "op4_embedding_dedup": hnsw.op4_embedding_dedup,
     "op5_html_extraction": pages.op5_html_extraction,
     "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_mixing": mixing.op8_mixing,
