@@ -44,11 +44,12 @@ from shelfmark.llm.common import (
 )
 
 MIN_COSINE = 0.93
-SHARD = 8192  # vectors of a graph
-TOGETHER = 4  # shards of queries that meet a shard in one task
+SHARD = 2048  # vectors of a graph
+TOGETHER = 8  # shards of queries that meet a shard in one task
 LINKS = 16  # of a node in the upper layers; twice as many in the lowest
 SHRINK = 16  # nodes of a layer for one in the layer above
 BEAM = 48
+ENTRIES = 16  # places at which a search enters the next layer
 AUDIT = 128  # queries of a task that are compared with all of the shard
 _QUERIES = 256
 _STEP = 4  # nodes of a beam expanded at once
@@ -61,7 +62,9 @@ class Layer:
     def __init__(self, vectors: np.ndarray, links: int):
         self.vectors = vectors
         self.links = links
-        self.near = np.full((len(vectors), links), -1, dtype=np.int32)
+        # The last column chains each node behind its nearest earlier one, so that nodes
+        # all of whose other links were given up for nearer ones are still reached.
+        self.near = np.full((len(vectors), links + 1), -1, dtype=np.int32)
         self.size = 0
 
     def search(
@@ -73,16 +76,18 @@ class Layer:
         rows = np.arange(many)[:, None]
         seen = np.zeros((many, n + 1), dtype=bool)
         seen[:, n] = True
+        entry = np.where(entry < 0, n, entry)
         seen[rows, entry] = True
         node = np.full((many, beam), n, dtype=np.int32)
         near = np.full((many, beam), -2.0, dtype=np.float32)
         done = np.ones((many, beam), dtype=bool)
         width = min(entry.shape[1], beam)
-        close = np.einsum("qed,qd->qe", self.vectors[entry], queries)
+        close = np.einsum("qed,qd->qe", self.vectors[np.minimum(entry, n - 1)], queries)
+        close[entry == n] = -2
         order = np.argsort(-close, axis=1, kind="stable")[:, :width]
         node[:, :width] = np.take_along_axis(entry, order, 1)
         near[:, :width] = np.take_along_axis(close, order, 1)
-        done[:, :width] = False
+        done[:, :width] = near[:, :width] == -2
         active = np.arange(many)
         while len(active):
             waiting = ~done[active]
@@ -96,7 +101,7 @@ class Layer:
             done[active] |= chosen
             q, at = np.nonzero(chosen)
             place = rank[q, at] - 1
-            found = np.full((len(active), _STEP, self.links), n, dtype=np.int32)
+            found = np.full((len(active), _STEP, self.links + 1), n, dtype=np.int32)
             linked = self.near[node[active[q], at]]
             found[q, place] = np.where(linked >= 0, linked, n)
             found = np.sort(found.reshape(len(active), -1), axis=1)
@@ -140,7 +145,12 @@ class Layer:
         node, near = np.take_along_axis(node, order, 1), np.take_along_axis(near, order, 1)
         self.size = last
         kept = self._spread(node, near)
-        self.near[first:last] = kept
+        self.near[first:last, :-1] = kept
+        earlier = (node >= 0) & (node < np.arange(first, last)[:, None])
+        nearest = np.take_along_axis(node, earlier.argmax(axis=1)[:, None], 1)[:, 0]
+        for i, before in enumerate(nearest.tolist(), first):
+            if earlier[i - first].any():
+                self.near[i, -1], self.near[before, -1] = self.near[before, -1], i
         source = np.repeat(np.arange(first, last), (kept >= 0).sum(axis=1))
         self._link_back(kept[kept >= 0], source)
 
@@ -168,7 +178,7 @@ class Layer:
         nodes, starts = np.unique(target, return_index=True)
         ends = np.append(starts[1:], len(target))
         for v, a, b in zip(nodes.tolist(), starts.tolist(), ends.tolist(), strict=True):
-            have = self.near[v]
+            have = self.near[v, :-1]
             have = have[have >= 0]
             both = np.unique(np.concatenate((have, source[a:b])))
             if len(both) > self.links:
@@ -178,7 +188,7 @@ class Layer:
                 both = self._spread(both[None, :], close[None, :])[0]
                 both = both[both >= 0]
             self.near[v, : len(both)] = both
-            self.near[v, len(both) :] = -1
+            self.near[v, len(both) : -1] = -1
 
 
 class Graph:
@@ -206,9 +216,13 @@ class Graph:
     def _enter(queries: np.ndarray, above: list[Layer], most: int) -> np.ndarray:
         entry = np.zeros((len(queries), 1), dtype=np.int32)
         for layer in above:
-            node, _ = layer.search(queries, 4, entry)
-            entry = np.maximum(node, 0)
-        return np.where(entry < most, entry, 0)
+            node, _ = layer.search(queries, ENTRIES, entry)
+            entry = np.where(node < 0, node[:, :1], node)
+        entry = np.where(entry < most, entry, 0)
+        # Each place once: a beam must not hold a node twice.
+        entry = np.sort(entry, axis=1)
+        entry[:, 1:][entry[:, 1:] == entry[:, :-1]] = -1
+        return entry
 
     def within(self, queries: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """(query, node) pairs of cosine ``least`` or more that beams find, verified."""

@@ -61,6 +61,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     ).cumprod(dtype=np.uint64)
 
 
+def sliding(values: np.ndarray, span: int, pick) -> np.ndarray:
+    """``pick`` (min or max) of every ``span`` neighbours."""
+    width = 1
+    while 2 * width <= span:
+        values = pick(values[:-width], values[width:])
+        width *= 2
+    rest = span - width
+    return pick(values[: len(values) - rest], values[rest:]) if rest else values
+
+
 class _Sieve:
     """Anchors of concatenated texts."""
 
@@ -71,14 +81,10 @@ class _Sieve:
         self.up = _powers(_BASE, size)
         self.down = _powers(pow(_BASE, -1, 2**64), size)
 
-    def _sliding(self, values: np.ndarray, pick) -> np.ndarray:
-        """``pick`` (min or max) of every ``span`` neighbours."""
-        width = 1
-        while 2 * width <= self.span:
-            values = pick(values[:-width], values[width:])
-            width *= 2
-        rest = self.span - width
-        return pick(values[: len(values) - rest], values[rest:]) if rest else values
+    def hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        flat, ends = _flat(texts)
+        places, hashes = self.anchors(flat, ends)
+        return np.searchsorted(ends, places, "right"), hashes
 
     def anchors(self, flat: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions and hashes; ``ends`` are the ends of the texts in ``flat``."""
@@ -101,12 +107,12 @@ class _Sieve:
             # Runs that begin at a blank or line end come first.
             begins = (part[:count] == 32) | (part[:count] == 10)
             order = (code >> np.uint64(1)) | (np.where(begins, 0, 1).astype(np.uint64) << np.uint64(63))
-            least = self._sliding(order, np.minimum)
+            least = sliding(order, self.span, np.minimum)
             # A string counts only if it lies in one text.
             at = np.arange(first, first + len(least))
             least[ends[np.searchsorted(ends, at, "right")] < at + self.length] = 0
             edge = np.zeros(self.span - 1, dtype=np.uint64)
-            most = self._sliding(np.concatenate((edge, least, edge)), np.maximum)
+            most = sliding(np.concatenate((edge, least, edge)), self.span, np.maximum)
             chosen = np.flatnonzero((most[: len(order)] == order) & (order > 0)) + first
             chosen = chosen[(chosen >= low) & (chosen < high)]
             places.append(chosen)
@@ -121,36 +127,39 @@ def _flat(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), dtype=np.uint8), ends
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
+def planes(values: np.ndarray, width: int) -> bytes:
     """Numbers byte by byte, the first bytes of all together: high bytes then compress away."""
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _unplanes(data: bytes, width: int) -> np.ndarray:
+def unplanes(data: bytes, width: int) -> np.ndarray:
     planes = np.frombuffer(data, dtype=np.uint8).reshape(width, -1)
     out = np.zeros((planes.shape[1], 8), dtype=np.uint8)
     out[:, :width] = planes.T
     return out.view("<u8").reshape(-1).astype(np.uint64)
 
 
-def _runs(sorted_values: np.ndarray) -> np.ndarray:
+def runs(sorted_values: np.ndarray) -> np.ndarray:
     """Starts of runs of equal values."""
     return np.flatnonzero(np.append(True, sorted_values[1:] != sorted_values[:-1]))
 
 
-def _send(length: int, gram: int, buckets: int):
-    """Tasks: (_key, _bytes) to packed anchors by hash range."""
+def send(make, buckets: int):
+    """Tasks: (_key, _bytes) to packed anchors by hash range.
+
+    ``make()`` gives an object whose ``hashes(texts)`` are (number of the text, hash) pairs.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = _Sieve(length, gram)
+        sieve = make()
         for batch in batches:
             keys = batch.column(0).to_numpy()
             found_h, found_k = [], []
             for low in range(0, len(keys), 1024):
-                flat, ends = _flat([t or b"" for t in batch.column(1).slice(low, 1024).to_pylist()])
-                places, hashes = sieve.anchors(flat, ends)
+                texts = [t or b"" for t in batch.column(1).slice(low, 1024).to_pylist()]
+                number, hashes = sieve.hashes(texts)
                 found_h.append(hashes)
-                found_k.append(keys[low + np.searchsorted(ends, places, "right")])
+                found_k.append(keys[low + number])
             h = np.concatenate([*found_h, np.empty(0, dtype=np.uint64)])
             k = np.concatenate([*found_k, np.empty(0, dtype=np.int64)])
             order = np.lexsort((k, h))
@@ -161,8 +170,8 @@ def _send(length: int, gram: int, buckets: int):
             cuts = np.searchsorted(h, np.array(limits, dtype=np.uint64))
             rows = [i for i in range(buckets) if cuts[i + 1] > cuts[i]]
             packed = [
-                _planes(h[cuts[i] : cuts[i + 1]], _HASH_BYTES)
-                + _planes(k[cuts[i] : cuts[i + 1]].view(np.uint64), 8)
+                planes(h[cuts[i] : cuts[i + 1]], _HASH_BYTES)
+                + planes(k[cuts[i] : cuts[i + 1]].view(np.uint64), 8)
                 for i in rows
             ]
             yield pa.RecordBatch.from_arrays(
@@ -172,7 +181,7 @@ def _send(length: int, gram: int, buckets: int):
     return run
 
 
-def _slots(parts: int) -> int:
+def slots_for(parts: int) -> int:
     """The next prime: ids that are multiples of one number still spread."""
     n = max(parts, 2)
     while any(n % d == 0 for d in range(2, int(n**0.5) + 1)):
@@ -180,7 +189,7 @@ def _slots(parts: int) -> int:
     return n
 
 
-def _share(slots: int):
+def share(slots: int):
     """Tasks: packed anchors of a hash range to packed (key, hash, group) by slots of the key.
 
     Of anchors seen in two or more documents only.
@@ -191,15 +200,15 @@ def _share(slots: int):
         for batch in batches:
             for data in batch.column(1).to_pylist():
                 n = len(data) // (_HASH_BYTES + 8)
-                hs.append(_unplanes(data[: n * _HASH_BYTES], _HASH_BYTES))
-                ks.append(_unplanes(data[n * _HASH_BYTES :], 8).view(np.int64))
+                hs.append(unplanes(data[: n * _HASH_BYTES], _HASH_BYTES))
+                ks.append(unplanes(data[n * _HASH_BYTES :], 8).view(np.int64))
         if not hs:
             return
         h, k = np.concatenate(hs), np.concatenate(ks)
         hs = ks = None
         order = np.lexsort((k, h))
         h, k = h[order], k[order]
-        starts = _runs(h)
+        starts = runs(h)
         sizes = np.diff(np.append(starts, len(h)))
         least, most = k[starts], k[starts + sizes - 1]
         group = np.where(sizes > CROWD, h[starts].view(np.int64) * 2 + 1, least * 2)
@@ -208,11 +217,11 @@ def _share(slots: int):
         slot = k % slots
         order = np.lexsort((k, slot))
         h, k, group, slot = h[order], k[order], group[order], slot[order]
-        starts = _runs(slot) if len(slot) else np.empty(0, dtype=np.int64)
+        starts = runs(slot) if len(slot) else np.empty(0, dtype=np.int64)
         rows = [
-            _planes(k[a:b].view(np.uint64), 8)
-            + _planes(h[a:b], _HASH_BYTES)
-            + _planes(group[a:b].view(np.uint64), 8)
+            planes(k[a:b].view(np.uint64), 8)
+            + planes(h[a:b], _HASH_BYTES)
+            + planes(group[a:b].view(np.uint64), 8)
             for a, b in zip(starts, np.append(starts[1:], len(slot)), strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
@@ -223,6 +232,38 @@ def _share(slots: int):
     return run
 
 
+class Shared:
+    """Shared anchors of a task's documents, from what ``share`` packed."""
+
+    wide = 2 * 8 + _HASH_BYTES
+
+    def __init__(self, packed: list[bytes]):
+        sizes = [len(x) // self.wide for x in packed]
+        fields = [(0, 8), (8, _HASH_BYTES), (8 + _HASH_BYTES, 8)]
+        k, h, group = (
+            np.concatenate(
+                [unplanes(x[a * n : (a + w) * n], w) for x, n in zip(packed, sizes, strict=True)]
+                or [np.empty(0, dtype=np.uint64)]
+            )
+            for a, w in fields
+        )
+        k, group = k.view(np.int64), group.view(np.int64)
+        order = np.lexsort((h, k))
+        self.k, self.h, self.group = k[order], h[order], group[order]
+
+    def of(self, key: int) -> tuple[np.ndarray, np.ndarray] | None:
+        """Hashes, sorted, and groups of a document's shared anchors; None if it has none."""
+        a, b = np.searchsorted(self.k, key, "left"), np.searchsorted(self.k, key, "right")
+        return (self.h[a:b], self.group[a:b]) if a < b else None
+
+
+def lookup(known: tuple[np.ndarray, np.ndarray], h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of these hashes are shared anchors, and the groups of those."""
+    spot = np.minimum(np.searchsorted(known[0], h), len(known[0]) - 1)
+    found = known[0][spot] == h
+    return found, known[1][spot[found]]
+
+
 def _cut(length: int, gram: int):
     """Tasks: rows sorted by _kind, shared anchors (0) before texts (1), to pieces.
 
@@ -237,21 +278,17 @@ def _cut(length: int, gram: int):
             ("_data", pa.binary()),
         ]
     )
-    wide = 2 * 8 + _HASH_BYTES
-
-    def pieces(docs: list[tuple[int, int, bytes, np.ndarray, np.ndarray]], sieve: _Sieve):
+    def pieces(docs: list[tuple[int, int, bytes, tuple]], sieve: _Sieve):
         flat, ends = _flat([d[2] for d in docs])
         places, hashes = sieve.anchors(flat, ends)
         owner = np.searchsorted(ends, places, "right")
         begins = np.append(0, ends)[:-1]
         bounds = np.searchsorted(owner, np.arange(len(docs) + 1))
         rows: list[tuple] = []
-        for i, (key, text_hash, text, known_h, known_group) in enumerate(docs):
+        for i, (key, text_hash, text, shared) in enumerate(docs):
             at = places[bounds[i] : bounds[i + 1]] - begins[i]
-            h = hashes[bounds[i] : bounds[i + 1]]
-            spot = np.minimum(np.searchsorted(known_h, h), len(known_h) - 1)
-            known = known_h[spot] == h
-            at, group = at[known], known_group[spot[known]]
+            known, group = lookup(shared, hashes[bounds[i] : bounds[i + 1]])
+            at = at[known]
             if not len(at):
                 continue
             rows.append((None, key, text_hash, 0, text))
@@ -275,7 +312,7 @@ def _cut(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = _Sieve(length, gram)
         packed: list[bytes] = []
-        k = h = group = None
+        shared = None
         docs, size = [], 0
         for batch in batches:
             for kind, key, text_hash, data in zip(
@@ -284,24 +321,13 @@ def _cut(length: int, gram: int):
                 if kind == 0:
                     packed.append(data)
                     continue
-                if k is None:
-                    sizes = [len(x) // wide for x in packed]
-                    fields = [(0, 8), (8, _HASH_BYTES), (8 + _HASH_BYTES, 8)]
-                    k, h, group = (
-                        np.concatenate(
-                            [_unplanes(x[a * n : (a + w) * n], w) for x, n in zip(packed, sizes)]
-                            or [np.empty(0, dtype=np.uint64)]
-                        )
-                        for a, w in fields
-                    )
+                if shared is None:
+                    shared = Shared(packed)
                     packed = []
-                    k, group = k.view(np.int64), group.view(np.int64)
-                    order = np.lexsort((h, k))
-                    k, h, group = k[order], h[order], group[order]
-                a, b = np.searchsorted(k, key, "left"), np.searchsorted(k, key, "right")
-                if a == b:
+                known = shared.of(key)
+                if known is None:
                     continue
-                docs.append((key, text_hash, data, h[a:b], group[a:b]))
+                docs.append((key, text_hash, data, known))
                 size += len(data)
                 if size > _LOAD:
                     yield pieces(docs, sieve)
@@ -362,7 +388,7 @@ def suffix_array(text: np.ndarray, length: int) -> np.ndarray:
         ahead, first = ahead[first > byte], first[first > byte]
         by_first = np.argsort(first, kind="stable")
         ahead, first = ahead[by_first], first[by_first]
-        starts = _runs(first) if len(first) else []
+        starts = runs(first) if len(first) else []
         for part in np.split(ahead, starts[1:]) if len(first) else ():
             waiting[text[part[0]]].append(part)
     return np.concatenate(order)
@@ -521,11 +547,11 @@ def cut_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
         F.col("_string").cast("binary").alias("_data"),
     )
     anchors = texts.select("_key", "_data").mapInArrow(
-        _send(length, gram, parts), "_range int, _data binary"
+        send(lambda: _Sieve(length, gram), parts), "_range int, _data binary"
     )
-    slots = _slots(parts)
+    slots = slots_for(parts)
     shared = anchors.repartition(parts, "_range").mapInArrow(
-        _share(slots), "_slot int, _data binary"
+        share(slots), "_slot int, _data binary"
     )
     both = shared.selectExpr("_slot", "0 AS _kind", "0L AS _key", "0L AS _text", "_data").union(
         texts.selectExpr(
