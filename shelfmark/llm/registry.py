@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import bpe, hnsw, language, mixing, pages, quality, simhash, suffix, tokencount
+from shelfmark.llm import (
+    bpe,
+    hnsw,
+    language,
+    mixing,
+    pages,
+    quality,
+    simhash,
+    suffix,
+    tokencount,
+    windows,
+)
 
 QUERIES = {
     "op1_token_counts": tokencount.op1_token_counts,
@@ -10,6 +21,7 @@ QUERIES = {
     "op3_quality_rules": quality.op3_quality_rules,
     "op4_embedding_dedup": hnsw.op4_embedding_dedup,
     "op5_html_extraction": pages.op5_html_extraction,
+    "op6_passage_dedup": windows.op6_passage_dedup,
     "op7_suffix_dedup": suffix.op7_suffix_dedup,
     "op8_mixing": mixing.op8_mixing,
     "op9_bpe": bpe.op9_bpe,

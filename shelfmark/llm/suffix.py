@@ -217,7 +217,9 @@ def share(slots: int):
         slot = k % slots
         order = np.lexsort((k, slot))
         h, k, group, slot = h[order], k[order], group[order], slot[order]
-        starts = runs(slot) if len(slot) else np.empty(0, dtype=np.int64)
+        if not len(slot):
+            return
+        starts = runs(slot)
         rows = [
             planes(k[a:b].view(np.uint64), 8)
             + planes(h[a:b], _HASH_BYTES)
