@@ -189,7 +189,7 @@ def slots_for(parts: int) -> int:
     return n
 
 
-def share(slots: int):
+def share(slots: int, crowd: int = CROWD):
     """Tasks: packed anchors of a hash range to packed (key, hash, group) by slots of the key.
 
     Of anchors seen in two or more documents only.
@@ -211,7 +211,7 @@ def share(slots: int):
         starts = runs(h)
         sizes = np.diff(np.append(starts, len(h)))
         least, most = k[starts], k[starts + sizes - 1]
-        group = np.where(sizes > CROWD, h[starts].view(np.int64) * 2 + 1, least * 2)
+        group = np.where(sizes > crowd, h[starts].view(np.int64) * 2 + 1, least * 2)
         shared = np.repeat(least != most, sizes)
         h, k, group = h[shared], k[shared], np.repeat(group, sizes)[shared]
         slot = k % slots
