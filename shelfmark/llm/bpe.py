@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import table
+from shelfmark.llm.common import sliced, table
 
 VOCABULARY = "word_bpe_49k.json"
 KEPT = 500_000  # pieces remembered by a task
@@ -287,7 +287,7 @@ def encode(docs: DataFrame, path: str | None = None, ids: bool = False) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = encoder(shared.value)
-        for batch in batches:
+        for batch in sliced(batches, 2048):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             rows: list[tuple] = []
             for group in _groups(texts):
@@ -304,6 +304,8 @@ def encode(docs: DataFrame, path: str | None = None, ids: bool = False) -> DataF
             kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc_id", *names])
+        # The worker may go on to tasks that need the memory for something else.
+        known.forget()
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

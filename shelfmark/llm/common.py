@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,13 @@ def tasks(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: what a task makes of one is bounded by its size."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def id_key(column: str = "doc_id"):
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shelfmark.llm.common import table
+from shelfmark.llm.common import sliced, table
 
 TRAIN_DOCS = 1500
 BUCKETS = 1 << 16
@@ -224,7 +224,7 @@ def predict(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             texts = batch.column(batch.num_columns - 1).to_pylist()
             lettered = [
                 i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))

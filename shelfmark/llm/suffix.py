@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, id_from_key, id_key, table, tasks, written
+from shelfmark.llm.common import NO_ID, id_from_key, id_key, sliced, table, tasks, written
 
 LENGTH = 50
 GRAM = 20
@@ -316,7 +316,7 @@ def _cut(length: int, gram: int):
         packed: list[bytes] = []
         shared = None
         docs, size = [], 0
-        for batch in batches:
+        for batch in sliced(batches):
             for kind, key, text_hash, data in zip(
                 *(batch.column(i).to_pylist() for i in range(4)), strict=True
             ):
@@ -479,7 +479,7 @@ def _find(length: int):
                         carried.append((group, held[i][1], held[i][2], -1, held[i][4][a:b]))
             return out, carried
 
-        for batch in batches:
+        for batch in sliced(batches):
             for row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 if size >= load:
                     out, held = search(row[0] == held[-1][0])
@@ -500,7 +500,7 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["_key", "_text", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
     kinds += [pa.list_(pa.int64()), pa.binary()]
-    for batch in batches:
+    for batch in sliced(batches):
         rows = []
         for key, text_hash, kind, low, high, data in zip(
             *(batch.column(i).to_pylist() for i in range(6)), strict=True
