@@ -9,6 +9,7 @@ is Spark code in ``operators.fields``.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from html import unescape
 
@@ -115,13 +116,14 @@ class Page:
         """Elements with a tag name below ``under``, in document order."""
         if tag not in self._by_tag:
             self._by_tag[tag] = [i for i, t in enumerate(self.tags) if t == tag]
-        end = self._end[under]
-        return [i for i in self._by_tag[tag] if under < i < end]
+        return self._below(self._by_tag[tag], under)
+
+    def _below(self, found: list[int], under: int) -> list[int]:
+        return found[bisect_right(found, under) : bisect_left(found, self._end[under])]
 
     def classed(self, name: str, under: int = 0) -> list[int]:
         """Elements with ``name`` as one class or as their whole class value."""
-        end = self._end[under]
-        return [i for i in self._by_class.get(name, ()) if under < i < end]
+        return self._below(self._by_class.get(name, []), under)
 
     def value(self, i: int, attribute: str) -> str:
         """A class, id or href; empty where the element has none."""
@@ -143,10 +145,19 @@ class Page:
 Rule = Callable[[Page], list[str]]
 
 
+_MARKUP = re.compile(r"<[^>]*+>")
+
+
 def _occurs(html: str, markers: tuple[str, ...]) -> bool:
-    if any(m in html for m in markers):
+    """Case is ignored, as the scanner does for tags; a text may be split by inner markup."""
+    lowered = html.lower()
+    wanted = [m.lower() for m in markers]
+    if any(m in lowered for m in wanted):
         return True
-    return "&" in html and any(m in unescape(html) for m in markers)
+    for text in (unescape(lowered), unescape(_MARKUP.sub("", lowered))):
+        if any(m in text for m in wanted):
+            return True
+    return False
 
 
 def match_rules(

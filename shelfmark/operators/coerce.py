@@ -133,3 +133,19 @@ def parse_typed(messages: DataFrame, value: str = "value") -> DataFrame:
         f"coalesce(data.{f}, 0) AS {f}" if f in zeroed else f"data.{f} AS {f}" for f in RAW_FIELDS
     ]
     return messages.select(*kept, data.alias("data")).selectExpr(*kept, *fields)
+
+
+def type_parsed(records: DataFrame) -> DataFrame:
+    """Policy v2 for text records, as a sink gets them: numbers as the typed parse reads them.
+
+    A text that is no JSON number of the field's type gives null; the four
+    measured fields are 0 where null.
+    """
+    zeroed = (*_SIZES, "page_count", "weight_g")
+    fields = []
+    for f in RAW_FIELDS:
+        kind = TYPED_MESSAGE_SCHEMA[f].dataType.simpleString()
+        value = f if kind == "string" else f"try_cast({f} AS {kind})"
+        fields.append(f"coalesce({value}, 0) AS {f}" if f in zeroed else f"{value} AS {f}")
+    kept = [c for c in records.columns if c not in RAW_FIELDS and c != "reasons"]
+    return records.selectExpr(*kept, *fields, "reasons")

@@ -65,26 +65,26 @@ def dimension(rows: DataFrame, column: str, target: DataFrame | None = None) ->
 def number_rows(
     rows: DataFrame, order: Sequence[str], name: str = "id", after: int | Column = 0
 ) -> DataFrame:
-    """Dense ids in order, after a given last id (K6). ``order`` must be unique.
+    """Dense ids in order, after a given last id (K6). Null orders come first.
 
-    Only the order columns are sorted: by range, into many partitions. Their
-    positions are written to the shared folder, so the counts and the ids see
-    the same partitions even if executors are lost. The offsets are one row per
-    partition. The ids come back by a join on the unique order columns.
+    Whole rows are placed by range, in many tasks, and written to the shared
+    folder with their place: counts and ids then see the same partitions even
+    if executors are lost. The offsets are one row per partition, and no row
+    meets another again, so rows with equal or null orders keep one id each.
     """
     spark = rows.sparkSession
     path = scratch_dir(spark, "numbered")
     # Persisted, because finding the ranges reads the input once more.
-    narrow = rows.select(*order).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         (
-            narrow.repartitionByRange(*order)
+            kept.repartitionByRange(*order)
             .sortWithinPartitions(*order)
             .withColumn("_at", F.monotonically_increasing_id())
             .write.parquet(path)
         )
     finally:
-        narrow.unpersist()
+        kept.unpersist()
     placed = spark.read.parquet(path)
     part = F.shiftright("_at", _LOCAL_BITS)
     local = F.col("_at").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
@@ -96,8 +96,8 @@ def number_rows(
     )
     last = F.lit(after) if isinstance(after, int) else after
     ids = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    ids = ids.select(*order, (last + F.col("_before") + local + 1).cast("long").alias(name))
-    return rows.join(ids, list(order))
+    number = (last + F.col("_before") + local + 1).cast("long").alias(name)
+    return ids.select(*rows.columns, number)
 
 
 def with_parent(

@@ -13,6 +13,7 @@ from shelfmark.operators.fields import match_pages
 # Listing pages of one crawl, and the class of a product tile.
 LISTING_PAGES = 51
 PRODUCT_TILE = "product-item"
+_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/?#:]*)"
 
 
 def listing_urls(spark: SparkSession, listing: str, pages: int = LISTING_PAGES) -> DataFrame:
@@ -63,8 +64,13 @@ def tile_links(pages: DataFrame, base: Column | str, tile: str = PRODUCT_TILE) -
 
 
 def host(url: Column) -> Column:
-    """Host of an address in lower case; null where there is none."""
-    return F.lower(F.try_parse_url(url, F.lit("HOST")))
+    """Host of an address in lower case; null where there is none.
+
+    By pattern: a blank or bar in the path, as crawls have them, makes an
+    address that a strict parser refuses. User part and port are left out.
+    """
+    found = F.regexp_extract(url, _AUTHORITY, 1)
+    return F.lower(F.when(found != "", found))
 
 
 def in_domains(url: Column, domains: list[str]) -> Column:

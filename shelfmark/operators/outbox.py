@@ -42,12 +42,12 @@ def bounded_run(
 ) -> DataFrame:
     """Whole documents of one bounded run, with their round.
 
-    Chosen by id and flag alone, so the documents are not shuffled. The ids are
-    at most ``size * count`` rows, which bounds the broadcast.
+    Chosen by id and flag alone. The ids are at most ``size * count`` rows; Spark
+    broadcasts them, so that documents are not shuffled, if they are few enough.
     """
     flags = documents.select("doc_id", "sent")
     ids = rounds(pending(flags, delivered), size, count).select("doc_id", "round")
-    return documents.join(F.broadcast(ids), "doc_id")
+    return documents.join(ids, "doc_id")
 
 
 def mark_delivered(documents: DataFrame, delivered: DataFrame) -> DataFrame:

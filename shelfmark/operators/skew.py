@@ -47,15 +47,18 @@ def salted_join(
     """Join where ``rows`` may repeat a key; ``how`` is left, left_semi or left_anti.
 
     ``other`` holds the key columns and whatever the join should add. The salt
-    is the row's input partition, so copies of one row spread as well, and a
-    task that is run again gives each row the same salt. Hashes are equal only
+    comes from the row's columns and its input partition: rows that lie together
+    spread by their columns, copies of one row by where they lie, and a task
+    that is run again gives each row the same salt. Hashes are equal only
     for equal types, so the keys of ``other`` take the types of ``rows``.
     """
     types = {f.name: f.dataType for f in rows.schema.fields}
     other = other.withColumns({k: F.col(k).try_cast(types[k]) for k in keys})
     hot = hot_hashes(rows, keys).scalar()
     is_hot: Column = F.array_contains(hot, F.xxhash64(*keys))
-    salt = F.when(is_hot, F.pmod(F.spark_partition_id(), F.lit(salts))).otherwise(F.lit(0))
+    hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
+    spread_by = F.xxhash64(*[f"`{c}`" for c in hashable], F.spark_partition_id())
+    salt = F.when(is_hot, F.pmod(spread_by, F.lit(salts)).cast("int")).otherwise(F.lit(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     spread = rows.withColumn("_salt", salt)
     copied = other.withColumn("_salt", F.explode(copies))

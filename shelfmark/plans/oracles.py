@@ -240,7 +240,7 @@ _NULLS_OF_BOOKS = ", ".join(["NULL"] * 14)
 SQL: dict[str, str] = {
     "q_docs_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "q_frontier": f"""SELECT DISTINCT {_NORMAL} AS url FROM pages UNION
-        SELECT concat('https://shop.example.com/collections/all?sort_by=best-selling&page=',
+        SELECT concat('https://shop.example.com/books/list?order=popular&p=',
           CAST(i AS VARCHAR)) FROM range(1, 52) t(i)""",
     "q_frontier_unvisited": f"""{_LINKS} SELECT DISTINCT {_NORMAL} AS url FROM links
         WHERE {_NORMAL} NOT IN (SELECT concat({_BASE}, '/the') FROM pages)""",

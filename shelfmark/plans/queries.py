@@ -41,7 +41,7 @@ from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, drain, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LISTING = "https://shop.example.com/collections/all?sort_by=best-selling&page="
+LISTING = "https://shop.example.com/books/list?order=popular&p="
 SHOP = "https://shop.example.com"
 DOMAINS = ["example.net", "spam-farm.example.org"]
 LINK = '<a href="([^"]*)"'

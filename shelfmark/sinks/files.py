@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -57,9 +58,24 @@ def append_documents(records: DataFrame, path: str, after: int = -1) -> None:
     documents.write.mode("append").parquet(path)
 
 
-def land(records: DataFrame, folder: str, after: int = -1) -> None:
+def last_document(spark: SparkSession, path: str) -> int:
+    """The greatest id of the stored documents; -1 where there is none yet."""
+    try:
+        stored = spark.read.schema("doc_id long").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+    found = stored.agg(F.max("doc_id")).first()[0]
+    return -1 if found is None else found
+
+
+def land(records: DataFrame, folder: str, after: int | None = None, bom: bool = False) -> None:
     """All sinks from one persisted frame, after one check (O-CHAIN).
 
+    Ids go on after ``after``, or after the last one stored: a second crawl into
+    the folder gets ids of its own. Rejected records are added to earlier ones.
+
     A record with an absent field fails the first sink and therefore reaches
     none; such records go to ``rejected`` with the reason.
     """
@@ -68,9 +84,11 @@ def land(records: DataFrame, folder: str, after: int = -1) -> None:
     checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         passed = good(checked)
-        write_csv(passed, f"{folder}/csv")
+        write_csv(passed, f"{folder}/csv", bom)
         write_json(passed, f"{folder}/json")
-        append_documents(passed, f"{folder}/documents", after)
-        quarantined(checked).write.mode("overwrite").json(f"{folder}/rejected")
+        documents = f"{folder}/documents"
+        last = last_document(records.sparkSession, documents) if after is None else after
+        append_documents(passed, documents, last)
+        quarantined(checked).write.mode("append").json(f"{folder}/rejected")
     finally:
         checked.unpersist()

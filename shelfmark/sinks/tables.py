@@ -49,12 +49,25 @@ class CatalogTables:
             rows = rows.repartition(self.buckets, table.key[0])
         rows.write.insertInto(self.name(table))
 
+    def compact(self, spark: SparkSession, table: Table, staging: str) -> None:
+        """One file per bucket again, after many small appends.
+
+        Run it between batches. The rows are first written whole to ``staging``,
+        so a failure on the way leaves them there or in the table.
+        """
+        columns = list(table.column_names)
+        self.read(spark, table).select(*columns).write.mode("overwrite").parquet(staging)
+        rows = spark.read.parquet(staging).select(*columns)
+        if table.key:
+            rows = rows.repartition(self.buckets, table.key[0])
+        rows.write.insertInto(self.name(table), overwrite=True)
+
 
 class JdbcTables:
     """Tables of a database, through Spark's JDBC source.
 
-    The database must exist and hold the tables, or ``create`` text is run by
-    its owner: ``ddl`` gives it with keys, parents and limits.
+    The database must exist. ``create`` makes the tables, with keys, parents and
+    limits; ``ddl`` gives its text.
     """
 
     _TYPES = {"string": "TEXT", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE PRECISION"}
@@ -86,6 +99,20 @@ class JdbcTables:
             lines.append(f"FOREIGN KEY ({own}) REFERENCES {parent}({theirs}){cascade}")
         return f"CREATE TABLE IF NOT EXISTS {table.name} ({', '.join(lines)})"
 
+    def create(self, spark: SparkSession, tables: tuple[Table, ...]) -> None:
+        """Make the tables that do not exist, parents first, over one connection of the driver."""
+        jvm = spark.sparkContext._jvm
+        properties = jvm.java.util.Properties()
+        for name, value in self.properties.items():
+            properties.setProperty(name, value)
+        connection = jvm.java.sql.DriverManager.getConnection(self.url, properties)
+        try:
+            statement = connection.createStatement()
+            for table in tables:
+                statement.execute(self.ddl(table))
+        finally:
+            connection.close()
+
     def read(self, spark: SparkSession, table: Table) -> DataFrame:
         return spark.read.jdbc(
             self.url,
@@ -95,7 +122,7 @@ class JdbcTables:
         )
 
     def append(self, rows: DataFrame, table: Table) -> None:
-        """Append over at most ``writers`` connections."""
-        rows.select(*table.column_names).coalesce(self.writers).write.jdbc(
+        """Append over at most ``writers`` connections; what comes before keeps its tasks."""
+        rows.select(*table.column_names).repartition(self.writers).write.jdbc(
             self.url, table.name, mode="append", properties=self.properties
         )

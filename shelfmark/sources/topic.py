@@ -22,11 +22,17 @@ def topic_options(
     fail_on_data_loss: bool = True,
     max_per_batch: int | None = None,
     min_partitions: int | None = None,
+    ending: str | None = None,
+    from_time: int | None = None,
+    to_time: int | None = None,
 ) -> dict[str, str]:
     """Reader options of a broker topic.
 
     ``starting`` is ``earliest`` or ``latest``. ``min_partitions`` splits the
-    read into more tasks than the topic has partitions.
+    read into more tasks than the topic has partitions. ``starting`` and
+    ``ending`` may also be the connector's JSON of offsets by partition;
+    ``from_time`` and ``to_time`` (ms since 1970) bound a read by message time.
+    An end holds for batch reads only.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -34,6 +40,12 @@ def topic_options(
         "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if ending:
+        options["endingOffsets"] = ending
+    if from_time is not None:
+        options["startingTimestamp"] = str(from_time)
+    if to_time is not None:
+        options["endingTimestamp"] = str(to_time)
     if max_per_batch:
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
     if min_partitions:
@@ -68,6 +80,7 @@ def read_topic_files(spark: SparkSession, path: str) -> DataFrame:
 def peek(messages: DataFrame, most: int = PEEK) -> DataFrame:
     """The first messages by partition and offset."""
     value = F.col("value").cast("string").alias("value")
-    return messages.orderBy("partition", "offset").limit(most).select(
-        "partition", "offset", value
-    )
+    first = messages.select("partition", "offset", "value").orderBy("partition", "offset")
+    # The one partition of a top-k stays as it is; this only keeps later projections, such as
+    # a parse, from moving between limit and sort, where they would turn it into a full sort.
+    return first.limit(most).coalesce(1).select("partition", "offset", value)

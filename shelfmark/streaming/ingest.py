@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from shelfmark.operators import project
-from shelfmark.operators.coerce import coerce
+from shelfmark.operators.coerce import coerce, type_parsed
 from shelfmark.operators.integrity import first_wins, good, not_in, quarantined, row_reasons
 from shelfmark.operators.messages import parse_messages
 from shelfmark.schema import (
@@ -40,18 +41,33 @@ REJECTED = Table(
         "message": "string",
         "reasons": "string",
     },
-    key=("src_offset",),
+    key=("src_partition", "src_offset"),
 )
 
 
-def parsed(messages: DataFrame) -> DataFrame:
-    """Text record per message, with its origin; the same for batch and stream."""
-    return parse_messages(messages.select("value", *ORIGIN), RAW_SCHEMA, keep_as="message")
+def parsed(messages: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    """Text record per message, with its origin; the same for batch and stream.
 
+    ``names`` maps our field names to those in the messages, where they differ.
+    """
+    names = names or {}
+    schema = T.StructType(
+        [T.StructField(names.get(f.name, f.name), f.dataType) for f in RAW_SCHEMA.fields]
+    )
+    rows = parse_messages(messages.select("value", *ORIGIN), schema, keep_as="message")
+    return rows.withColumnsRenamed({theirs: ours for ours, theirs in names.items()})
+
+
+def sink_typed(records: DataFrame, policy: str = "v1") -> DataFrame:
+    """Typed record under any policy; v2 reads the numbers of the kept message."""
+    return type_parsed(records) if policy == "v2" else coerce(records, policy)
 
-def typed(messages: DataFrame, policy: str = "v1") -> DataFrame:
+
+def typed(
+    messages: DataFrame, policy: str = "v1", names: dict[str, str] | None = None
+) -> DataFrame:
     """Typed record per message, with origin and reasons."""
-    return coerce(parsed(messages), policy)
+    return sink_typed(parsed(messages, names), policy)
 
 
 class TableSink:
@@ -60,9 +76,9 @@ class TableSink:
     The books to load are decided once per batch, then written parents first.
     Each write leaves out keys that are already there, so a batch that is
     replayed after a failure, or a topic that is read again from the start,
-    completes what is missing and adds nothing twice. Batches after the first
-    of a run cannot be replays, so they skip the per-table check; a failure
-    ends the run.
+    completes what is missing and adds nothing twice. A batch that follows a
+    whole one cannot be a replay, so it skips the per-table check; from the
+    start of a batch until its last write the next one is taken for a replay.
     """
 
     def __init__(
@@ -76,8 +92,10 @@ class TableSink:
         self.keep_missing_key = keep_missing_key
         self.may_be_replay = True
 
-    def _append(self, rows: DataFrame, table: Table, keys: tuple[str, ...]) -> None:
-        if self.may_be_replay:
+    def _append(
+        self, rows: DataFrame, table: Table, keys: tuple[str, ...], replay: bool
+    ) -> None:
+        if replay:
             rows = not_in(rows, self.tables.read(rows.sparkSession, table), keys)
         self.tables.append(rows, table)
 
@@ -86,16 +104,18 @@ class TableSink:
 
         A loaded sku keeps the message it came from, so only a replay of that
         message passes; of the messages with another sku the first one does.
-        An origin occurs once in a batch, as in a topic.
+        A message is told by sku and origin: offsets may start again in another
+        topic, or in one that was made anew.
         """
-        rows = row_reasons(coerce(batch, self.policy), THREE_TABLES, "sku", self.keep_missing_key)
+        rows = row_reasons(sink_typed(batch, self.policy), THREE_TABLES, "sku", self.keep_missing_key)
         won = first_wins(good(rows).select("sku", *ORIGIN), ["sku"], ORIGIN)
         known = self.tables.read(batch.sparkSession, LEDGER)
         won = won.join(known, "sku", "left").select(
+            "sku",
             *[F.coalesce(f"src_{o}", o).alias(o) for o in ORIGIN],
             F.col("src_offset").isNull().alias("new"),
         )
-        labelled = rows.join(won, list(ORIGIN), "left")
+        labelled = rows.join(won, ["sku", *ORIGIN], "left")
         refused = (F.size("reasons") == 0) & F.col("new").isNull()
         return labelled.withColumn(
             "reasons",
@@ -103,21 +123,23 @@ class TableSink:
         )
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        replay, self.may_be_replay = self.may_be_replay, True
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         rows = self.decide(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             source = [F.col(o).alias(f"src_{o}") for o in ORIGIN]
             admitted = good(rows)
             self.tables.append(admitted.where("new").select("sku", *source), LEDGER)
-            self._append(project.book(admitted), BOOK, BOOK.key)
-            self._append(project.book_author(admitted, blank=True), BOOK_AUTHOR, BOOK_AUTHOR.key)
-            self._append(project.detail(admitted), DETAIL, DETAIL.key)
+            self._append(project.book(admitted), BOOK, BOOK.key, replay)
+            authors = project.book_author(admitted, blank=True)
+            self._append(authors, BOOK_AUTHOR, BOOK_AUTHOR.key, replay)
+            self._append(project.detail(admitted), DETAIL, DETAIL.key, replay)
             refused = quarantined(rows).select(
                 *source,
                 "message",
                 F.array_join("reasons", "|").alias("reasons"),
             )
-            self._append(refused, REJECTED, ("src_partition", "src_offset"))
+            self._append(refused, REJECTED, REJECTED.key, replay)
             self.may_be_replay = False
         finally:
             rows.unpersist()
@@ -129,14 +151,16 @@ def start(
     sink: TableSink,
     checkpoint: str,
     trigger: dict | None = None,
+    names: dict[str, str] | None = None,
 ) -> StreamingQuery:
     """Start the ingest. The checkpoint keeps the offsets and is not optional.
 
     ``trigger`` is passed on, for example ``{"availableNow": True}``; without
-    one, batches follow each other as fast as they come.
+    one, batches follow each other as fast as they come. ``names`` maps our field
+    names to those in the messages.
     """
     writer = (
-        parsed(messages)
+        parsed(messages, names)
         .writeStream.foreachBatch(sink)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
@@ -144,6 +168,12 @@ def start(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def drain(spark: SparkSession, messages: DataFrame, sink: TableSink, checkpoint: str) -> None:
+def drain(
+    spark: SparkSession,
+    messages: DataFrame,
+    sink: TableSink,
+    checkpoint: str,
+    names: dict[str, str] | None = None,
+) -> None:
     """Load everything that is there now, in as many batches as it takes, and stop."""
-    start(messages, sink, checkpoint, {"availableNow": True}).awaitTermination()
+    start(messages, sink, checkpoint, {"availableNow": True}, names).awaitTermination()
