@@ -327,6 +327,11 @@ SQL: dict[str, str] = {
     "q_bridge": f"{_WITH}, {_FIVE} SELECT sku, authors AS author FROM books",
     "q_surrogate_key": f"""{_WITH} SELECT seq, sku, title,
         1000 + row_number() OVER (ORDER BY seq) AS id FROM rec""",
+    "q_number_nulls": f"""{_WITH}, placed AS (
+          SELECT CASE WHEN seq % 7 <> 0 THEN seq // 3 END AS place, seq FROM rec), ids AS (
+          SELECT place, row_number() OVER (ORDER BY place NULLS FIRST, seq) AS id FROM placed)
+        SELECT place, id - min(id) OVER (PARTITION BY place) AS nth,
+          min(id) OVER (PARTITION BY place) AS first FROM ids""",
     "q_serial_books": f"""{_WITH}, {_FIVE}
         SELECT 500 + row_number() OVER (ORDER BY seq) AS book_id, {_BOOKS[5:]} FROM passed""",
     "q_serial_bridge": f"""{_WITH}, {_FIVE}
@@ -364,6 +369,8 @@ SQL: dict[str, str] = {
           AS sent FROM rec""",
     "j_relay": f"""{_WITH} SELECT seq AS "offset", sku, title FROM ({_PENDING})""",
     "s_ingest": _load("", "seq % 2, seq"),
+    "s_ingest_restart": _load("", "seq % 3, seq"),
+    "s_ingest_crawler_names": _load("", "seq"),
     "j_load_three": _load("", "seq"),
     "tables": f"""{_WITH}, {_FIVE}, names AS (
           SELECT DISTINCT 'series' AS tbl, series AS name FROM books
@@ -387,6 +394,7 @@ SQL: dict[str, str] = {
     "j_json": f"{_WITH} SELECT {_FIELDS} FROM rec",
     "j_landing": f"""{_WITH} SELECT {_FIELDS}, NULL::BOOLEAN AS sent FROM rec
         WHERE unread = ''""",
+    "j_two_crawls_relay": f"""{_WITH} SELECT sku, title FROM rec, range(2) WHERE unread = ''""",
     "j_crawl": f"""{_WITH} SELECT title, authors, units_sold, sale_price, list_price, sku, isbn,
         audience, length_cm, width_cm, page_count,
         CASE WHEN seq % 3 = 0 THEN binding ELSE trim(binding) END AS binding,

@@ -29,6 +29,8 @@ from shelfmark.schema import (
     RAW_SCHEMA,
     THREE_TABLES,
     WAREHOUSE_NAMES,
+    Table,
+    message_names,
 )
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land, read_csv, write_csv, write_json
@@ -37,7 +39,7 @@ from shelfmark.sinks.topic import write_topic_files
 from shelfmark.sources.documents import read_documents
 from shelfmark.sources.pages import read_pages
 from shelfmark.sources.topic import peek, read_topic_files, stream_topic_files
-from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, drain, typed
+from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, drain, parsed, typed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -354,6 +356,16 @@ def q_surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.number_rows(rows, ["seq"], "id", 1000)
 
 
+def q_number_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids by an order that is null for some rows and equal for others: each row has one."""
+    rows = inputs.records(spark, sf_dir).selectExpr(
+        "sku", "CASE WHEN seq % 7 <> 0 THEN seq div 3 END AS place"
+    )
+    return integrity.number_rows(rows, ["place"], "id").selectExpr(
+        "place", "id - min(id) OVER (PARTITION BY place) AS nth", "min(id) OVER (PARTITION BY place) AS first"
+    )
+
+
 def q_serial_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = star.checked_books(inputs.records(spark, sf_dir))
     return star.serial_books(checked, ["seq"])[1]
@@ -493,6 +505,70 @@ def j_load_three(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _three(spark, tables)
 
 
+def s_ingest_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch whose second write fails, taken again by the same sink, between two others."""
+    location = scratch_dir(spark, "tables")
+    tables = CatalogTables(location, f"again_{location[-8:]}_", buckets=8)
+    tables.create(spark, (LEDGER, *THREE_TABLES, REJECTED))
+    sink, failing = TableSink(tables), _FailsOnce(tables, BOOK_AUTHOR.name)
+    rows = inputs.messages(spark, sf_dir)
+    for part in range(3):
+        batch = parsed(rows.where(F.col("offset") % 3 == part))
+        if part == 1:
+            sink.tables = failing
+            try:
+                sink(batch, part)
+            except RuntimeError:
+                sink.tables = tables
+        sink(batch, part)
+    return _three(spark, tables)
+
+
+class _FailsOnce:
+    """Tables of which one cannot be written."""
+
+    def __init__(self, tables: CatalogTables, name: str):
+        self.tables = tables
+        self.refused = name
+
+    def read(self, spark: SparkSession, table: Table) -> DataFrame:
+        return self.tables.read(spark, table)
+
+    def append(self, rows: DataFrame, table: Table) -> None:
+        if table.name == self.refused:
+            raise RuntimeError("the write failed")
+        self.tables.append(rows, table)
+
+
+def s_ingest_crawler_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream over messages with the crawler's own field names."""
+    names = message_names("maHang")
+    topic, location = scratch_dir(spark, "topic"), scratch_dir(spark, "tables")
+    rows = inputs.records(spark, sf_dir).select(F.col("seq").alias("offset"), *RAW_FIELDS)
+    sent = messages.publish_frame(project.renamed(rows, names), keep=("offset",))
+    write_topic_files(sent, topic, F.col("offset"))
+    tables = CatalogTables(location, f"names_{location[-8:]}_", buckets=8)
+    tables.create(spark, (LEDGER, *THREE_TABLES, REJECTED))
+    checkpoint = scratch_dir(spark, "offsets")
+    drain(spark, stream_topic_files(spark, topic), TableSink(tables), checkpoint, names)
+    return _three(spark, tables)
+
+
+def j_two_crawls_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land and relay, twice into one folder: all that was landed is sent."""
+    folder, topic = scratch_dir(spark, "landing"), scratch_dir(spark, "topic")
+    marks = scratch_dir(spark, "delivered")
+    send = lambda rows: write_topic_files(rows, topic, F.col("doc_id"))
+    mark = lambda ids: ids.write.mode("append").parquet(marks)
+    for again in (False, True):
+        land(inputs.records(spark, sf_dir), folder)
+        delivered = spark.read.parquet(marks) if again else None
+        stored = read_documents(spark, f"{folder}/documents")
+        jobs.relay(stored, delivered, send, mark, bounded=False)
+    arrived = messages.parse_messages(read_topic_files(spark, topic))
+    return arrived.select("sku", "title")
+
+
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five tables made, loaded twice and read back as one tagged frame."""
     location = scratch_dir(spark, "tables")
@@ -585,6 +661,7 @@ QUERIES: dict[str, Query] = {
     "q_book_fact": q_book_fact,
     "q_bridge": q_bridge,
     "q_surrogate_key": q_surrogate_key,
+    "q_number_nulls": q_number_nulls,
     "q_serial_books": q_serial_books,
     "q_serial_bridge": q_serial_bridge,
     "q_fk_orphans": q_fk_orphans,
@@ -598,6 +675,8 @@ QUERIES: dict[str, Query] = {
     "q_outbox_mark": q_outbox_mark,
     "j_relay": j_relay,
     "s_ingest": s_ingest,
+    "s_ingest_restart": s_ingest_restart,
+    "s_ingest_crawler_names": s_ingest_crawler_names,
     "j_load_three": j_load_three,
     "tables": tables,
     "j_load_flat": j_load_flat,
@@ -605,4 +684,5 @@ QUERIES: dict[str, Query] = {
     "j_json": j_json,
     "j_landing": j_landing,
     "j_crawl": j_crawl,
+    "j_two_crawls_relay": j_two_crawls_relay,
 }
