@@ -588,8 +588,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
     Bytes of a character that is cut in part go too.
     """
-    lost = cut_repeats(docs, length, gram).dropDuplicates(["_key", "_text"])
-    lost = lost.select(
+    # Written, so that what was shuffled for it goes before the texts are joined.
+    lost = written(cut_repeats(docs, length, gram).drop("spans"), "kept")
+    lost = lost.dropDuplicates(["_key", "_text"]).select(
         "_key", "_text", F.expr("try_validate_utf8(cast(kept AS string))").alias("_valid"), "kept"
     )
     keyed = docs.withColumns({"_key": id_key(), "_text": F.xxhash64(F.col("text").cast("string"))})
