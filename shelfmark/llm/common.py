@@ -51,6 +51,22 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
             yield batch.slice(low, rows)
 
 
+def beside(docs: DataFrame, **columns) -> DataFrame:
+    """``docs`` with its columns by number, as _0_, _1_, ..., and others beside them.
+
+    So no column of a table can clash with those an operator works with.
+    """
+    own = [F.col(f"`{c}`").alias(f"_{i}_") for i, c in enumerate(docs.columns)]
+    return docs.select(*own, *[c.alias(n) for n, c in columns.items()])
+
+
+def restored(rows: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` under their names, some of them changed."""
+    return rows.select(
+        *[changed.get(c, F.col(f"_{i}_")).alias(c) for i, c in enumerate(docs.columns)]
+    )
+
+
 def id_key(column: str = "doc_id"):
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 

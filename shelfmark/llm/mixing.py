@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, id_key, table, written
+from shelfmark.llm.common import NO_ID, beside, id_key, restored, table, written
 
 #: Weight at time 0, 1/2 and 1, for sources by rank, repeating. The integrals are 5, 2 and 1:
 #: heavy sources come early, light ones late.
@@ -154,34 +154,41 @@ def sequenced(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     the first ``part`` words of its text. Columns are those of ``docs``;
     ``n_chars`` follows a cut.
     """
+    # Numbered before the passes are dealt out: all passes of a row have its number.
     passes = mixed.selectExpr(
         f"coalesce(doc_id, {NO_ID}) AS _id",
         "text_hash AS _text",
-        f"row_number() OVER (PARTITION BY coalesce(doc_id, {NO_ID}), text_hash ORDER BY source) AS _copy",
+        f"row_number() OVER (PARTITION BY coalesce(doc_id, {NO_ID}), text_hash ORDER BY source)"
+        " AS _copy",
         "taken AS _taken",
         "size AS _size",
         "part AS _part",
-        "posexplode_outer(positions) AS (_pass, _at)",
+        "positions",
     ).where("_taken > 0")
-    rows = docs.withColumns(
-        {
-            "_id": id_key(),
-            "_text": F.expr("xxhash64(text)"),
-            "_copy": F.expr(
-                f"row_number() OVER (PARTITION BY coalesce(cast(doc_id AS long), {NO_ID}), xxhash64(text)"
-                " ORDER BY cast(source AS string))"
-            ),
-        }
-    ).join(passes, ["_id", "_text", "_copy"])
+    passes = passes.selectExpr(
+        "_id", "_text", "_copy", "_taken", "_size", "_part", "posexplode(positions) AS (_pass, _at)"
+    )
+    string = F.col("text").cast("string")
+    rows = beside(
+        docs,
+        _id=id_key(),
+        _text=F.xxhash64(string),
+        _whole=string,
+        _source=F.col("source").cast("string"),
+    )
+    copy = "row_number() OVER (PARTITION BY _id, _text ORDER BY _source)"
+    rows = rows.withColumn("_copy", F.expr(copy)).join(passes, ["_id", "_text", "_copy"])
     last = "_part > 0 AND (_pass + 1) * _size > _taken"
     ends = r"(?<=[^\\x20\\x09-\\x0D])(?=[\\x20\\x09-\\x0D])"
-    cut = f"array_join(slice(split(text, '{ends}'), 1, cast(_part AS int)), '')"
-    changed = {"text": f"CASE WHEN {last} THEN {cut} ELSE text END"}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = f"CASE WHEN {last} THEN length({cut}) ELSE n_chars END"
-    rows = rows.withColumns({c: F.expr(x) for c, x in changed.items()})
+    cut = f"array_join(slice(split(_whole, '{ends}'), 1, cast(_part AS int)), '')"
+    rows = rows.withColumn("_last", F.expr(last))
+    rows = rows.withColumn("_taken_text", F.expr(f"CASE WHEN _last THEN {cut} ELSE _whole END"))
     rows = rows.repartitionByRange("_at", "_id").sortWithinPartitions("_at", "_id")
-    return rows.select(*docs.columns)
+    changed = {"text": F.col("_taken_text")}
+    if "n_chars" in docs.columns:
+        own = F.col(f"_{docs.columns.index('n_chars')}_")
+        changed["n_chars"] = F.when(F.col("_last"), F.length("_taken_text")).otherwise(own)
+    return restored(rows, docs, **changed)
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:

@@ -39,10 +39,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import (
+    beside,
     components,
     id_from_key,
     id_key,
     merge_labels,
+    restored,
     table,
     tasks,
     written,
@@ -321,11 +323,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     rows = grouped(docs, shingle, max_bits)
     first = rows.groupBy("_component").agg(F.min(F.struct("_key", "_text")).alias("_first"))
     first = first.select("_first.*").distinct()
-    keyed = docs.withColumns({"_key": id_key(), "_text": F.xxhash64(F.col("text").cast("string"))})
+    keyed = beside(docs, _key=id_key(), _text=F.xxhash64(F.col("text").cast("string")))
     kept = keyed.join(first, ["_key", "_text"], "left_semi")
     once = Window.partitionBy("_key", "_text").orderBy("_key")
     kept = kept.withColumn("_copy", F.row_number().over(once)).where("_copy = 1")
-    return kept.select(*docs.columns)
+    return restored(kept, docs)
 
 
 def op2_simhash(spark, sf_dir: str) -> DataFrame:

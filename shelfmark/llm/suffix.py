@@ -43,7 +43,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import NO_ID, id_from_key, id_key, sliced, table, tasks, written
+from shelfmark.llm.common import (
+    NO_ID,
+    beside,
+    id_from_key,
+    id_key,
+    restored,
+    sliced,
+    table,
+    tasks,
+    written,
+)
 
 LENGTH = 50
 GRAM = 20
@@ -593,16 +603,17 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     lost = lost.dropDuplicates(["_key", "_text"]).select(
         "_key", "_text", F.expr("try_validate_utf8(cast(kept AS string))").alias("_valid"), "kept"
     )
-    keyed = docs.withColumns({"_key": id_key(), "_text": F.xxhash64(F.col("text").cast("string"))})
+    string = F.col("text").cast("string")
+    keyed = beside(docs, _key=id_key(), _text=F.xxhash64(string), _whole=string)
     rows = keyed.join(lost, ["_key", "_text"], "left")
-    whole = F.expr("replace(make_valid_utf8(cast(kept AS string)), '�', '')")
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(F.coalesce("_valid", whole))
-    rows = rows.withColumn("text", text)
+    cut = F.expr("coalesce(_valid, replace(make_valid_utf8(cast(kept AS string)), '\ufffd', ''))")
+    untouched = F.col("kept").isNull()
+    rows = rows.withColumn("_left", F.when(untouched, F.col("_whole")).otherwise(cut))
+    changed = {"text": F.col("_left")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn(
-            "n_chars", F.when(F.col("kept").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        )
-    return rows.select(*docs.columns)
+        own = F.col(f"_{docs.columns.index('n_chars')}_")
+        changed["n_chars"] = F.when(untouched, own).otherwise(F.length("_left"))
+    return restored(rows, docs, **changed)
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:
