@@ -183,7 +183,11 @@ def sequenced(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     cut = f"array_join(slice(split(_whole, '{ends}'), 1, cast(_part AS int)), '')"
     rows = rows.withColumn("_last", F.expr(last))
     rows = rows.withColumn("_taken_text", F.expr(f"CASE WHEN _last THEN {cut} ELSE _whole END"))
-    rows = rows.repartitionByRange("_at", "_id").sortWithinPartitions("_at", "_id")
+    at_text = f"_{docs.columns.index('text')}_"
+    rows = rows.drop("_whole", "_text", "_source", "_copy", "_size", "_part", "_taken", at_text)
+    # Written, so that finding the ranges does not join again, and the join's shuffles go.
+    rows = written(rows, "mix").repartitionByRange("_at", "_id")
+    rows = rows.sortWithinPartitions("_at", "_id")
     changed = {"text": F.col("_taken_text")}
     if "n_chars" in docs.columns:
         own = F.col(f"_{docs.columns.index('n_chars')}_")

@@ -58,7 +58,7 @@ from shelfmark.llm.common import (
 LENGTH = 50
 GRAM = 20
 CROWD = 512  # documents of an anchor above which it is a group of its own
-_LOAD = 1_500_000  # bytes of pieces sorted together
+_LOAD = 1_000_000  # bytes of pieces sorted together
 _SLICE = 1 << 19  # positions whose anchors are sought together
 _HASH_BYTES = 6
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -162,7 +162,7 @@ def send(make, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sieve = make()
-        for batch in batches:
+        for batch in sliced(batches, 4096):
             keys = batch.column(0).to_numpy()
             found_h, found_k = [], []
             for low in range(0, len(keys), 1024):
