@@ -13,7 +13,7 @@ from shelfmark.sinks.tables import CatalogTables
 PURE = [n for n in QUERIES if n.startswith("q_")]
 IN_PYTHON = {"q_tile_links", "q_page_tree", "q_product_fields"}
 # A window without a partition, over a bounded number of rows.
-BOUNDED_WINDOW = {"q_outbox_batches", "q_outbox_mark", "q_surrogate_key", "q_serial_bridge",
+BOUNDED_WINDOW = {"q_outbox_batches", "q_outbox_mark", "q_number_nulls", "q_surrogate_key", "q_serial_bridge",
                   "q_serial_books",
                   "q_array_messages"}
 
