@@ -5,40 +5,52 @@ task. Spark splits such a partition at run time only if both join sides come
 straight from a shuffle, which a side that was just made distinct does not. So
 the few keys that can be that hot are found first and salted; all other rows
 keep one salt and join as usual. The result does not depend on which keys are
-found: a key that is missed is only slower.
+found, as both sides use one answer: a key that is missed is only slower.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 100  # at most this many keys are salted
-SALTS = 64  # parts of a hot key
-_TRACKED = 2048  # size of a sketch: finds keys above about 0.2 % of the rows
+HOT_KEYS = 1000  # at most this many keys are salted: any other holds less than 0.1 % of the rows
+SALTS = 64  # parts of a hot key, at least
+_PIECES = 4  # parts of a hot key for each average partition it would fill
+_TRACKED = 16384  # size of a sketch: finds keys above about 0.02 % of the rows
 _GROUPS = 256  # sketches are merged in this many groups before the last step
 
 
-def hot_hashes(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: hashes of the most frequent keys, ``HOT_KEYS`` at most.
+def hot_keys(rows: DataFrame, keys: Sequence[str], salts: int = SALTS) -> dict[int, int]:
+    """Hashes of the keys that fill more than a quarter of an average partition, and their parts.
 
     Reads the key columns only. Each task keeps a sketch of fixed size; tasks
-    are merged in groups, and each group hands on its most frequent keys.
+    are merged in groups, and each group hands on its most frequent keys. The
+    parts of a key grow with its share of the rows and with the partitions. The
+    answer, ``HOT_KEYS`` numbers at most, is fetched once, so both sides of a
+    join agree on it.
     """
     hashed = f"xxhash64({', '.join(keys)})"
-    top = (
+    found = (
         rows.selectExpr(f"pmod(spark_partition_id(), {_GROUPS}) AS part", f"{hashed} AS hash")
         .groupBy("part")
-        .agg(F.expr(f"approx_top_k(hash, {HOT_KEYS}, {_TRACKED})").alias("top"))
-        .selectExpr("inline(top)")
+        .agg(F.expr(f"approx_top_k(hash, {HOT_KEYS}, {_TRACKED})").alias("top"), F.expr("count(*) AS n"))
+        # All rows of the group, under no key.
+        .selectExpr("inline(concat(top, array(named_struct('item', bigint(NULL), 'count', n))))")
         .groupBy("item")
         .agg(F.sum("count").alias("rows"))
-        .orderBy(F.desc("rows"))
-        .limit(HOT_KEYS)
+        .orderBy(F.desc("rows"), F.asc_nulls_first("item"))
+        .limit(HOT_KEYS + 1)
+        .collect()
     )
-    return top.agg(F.collect_list("item").alias("hot"))
+    if not found:
+        return {}
+    total = found[0].rows
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    filled = {r.item: r.rows / total * partitions for r in found[1:]}
+    return {k: max(salts, ceil(_PIECES * share)) for k, share in filled.items() if share > 0.25}
 
 
 def salted_join(
@@ -54,12 +66,15 @@ def salted_join(
     """
     types = {f.name: f.dataType for f in rows.schema.fields}
     other = other.withColumns({k: F.col(k).try_cast(types[k]) for k in keys})
-    hot = hot_hashes(rows, keys).scalar()
-    is_hot: Column = F.array_contains(hot, F.xxhash64(*keys))
+    hot = hot_keys(rows, keys, salts)
+    parts = F.lit(1)
+    if hot:
+        found = ", ".join(f"{k}L, {n}" if k >= 0 else f"bigint('{k}'), {n}" for k, n in hot.items())
+        parts = F.coalesce(F.element_at(F.expr(f"map({found})"), F.xxhash64(*keys)), F.lit(1))
     hashable = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
     spread_by = F.xxhash64(*[f"`{c}`" for c in hashable], F.spark_partition_id())
-    salt = F.when(is_hot, F.pmod(spread_by, F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.pmod(spread_by, parts).cast("int")
+    copies = F.sequence(F.lit(0), parts - 1)
     spread = rows.withColumn("_salt", salt)
     copied = other.withColumn("_salt", F.explode(copies))
     return spread.join(copied, [*keys, "_salt"], how).drop("_salt")

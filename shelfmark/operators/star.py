@@ -17,7 +17,7 @@ from shelfmark.operators.integrity import (
     number_rows,
     row_reasons,
 )
-from shelfmark.schema import BOOKS, BRIDGE, RAW_FIELDS, SERIAL_BOOKS
+from shelfmark.schema import BOOKS, BRIDGE, FIVE_TABLES, RAW_FIELDS, SERIAL_BOOKS, Table
 
 _TEXTS = [f for f in RAW_FIELDS if BOOKS.columns.get(f, "string") == "string"]
 
@@ -43,34 +43,39 @@ def book_fact(
     return accept_books(checked, "sku", order, existing)
 
 
-def star(accepted: DataFrame, targets: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Rows to append to each of the five tables, parents first.
+def star(
+    accepted: DataFrame,
+    targets: dict[str, DataFrame] | None = None,
+    model: tuple[Table, ...] = FIVE_TABLES,
+) -> dict[str, DataFrame]:
+    """Rows to append to each of the five tables of either form, parents first.
 
     Only accepted books feed the dimensions: a refused book rolls back all.
     """
     have = targets or {}
-    books = accepted.select(*BOOKS.column_names)
+    fact, link = model[-2:]
+    books = accepted.select(*fact.column_names)
     return {
         "series": dimension(accepted, "series", have.get("series")),
         "category": dimension(accepted, "category", have.get("category")),
-        "author": dimension(accepted, "authors", have.get("author")),
-        "books": not_in(books, have["books"], BOOKS.key) if "books" in have else books,
-        "book_author_bridge": bridge(accepted, have.get("book_author_bridge")),
+        "author": dimension(accepted, "author", have.get("author")),
+        fact.name: not_in(books, have[fact.name], fact.key) if fact.name in have else books,
+        link.name: bridge(accepted, have.get(link.name), link),
     }
 
 
-def bridge(accepted: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """(sku, author) pairs, conflicts ignored (K7)."""
-    pairs = accepted.select("sku", "author")
-    return insert_if_absent(pairs, target, BRIDGE.key)
+def bridge(
+    accepted: DataFrame, target: DataFrame | None = None, link: Table = BRIDGE
+) -> DataFrame:
+    """Pairs of a book's key and its author, conflicts ignored (K7)."""
+    pairs = accepted.select(*link.column_names)
+    return insert_if_absent(pairs, target, link.key)
 
 
-def serial_books(
-    checked: DataFrame, order: Sequence[str], last_id: int = 0
-) -> tuple[DataFrame, DataFrame]:
-    """Books with a generated id, and the bridge that reads the id back (K6).
+def serial_books(checked: DataFrame, order: Sequence[str], last_id: int = 0) -> DataFrame:
+    """Books with a generated id that goes on after ``last_id``, and their author (K6).
 
     This form has no business key: every good row becomes a book.
     """
     numbered = number_rows(good(checked), order, "book_id", last_id)
-    return numbered.select(*SERIAL_BOOKS.column_names), numbered.select("book_id", "author")
+    return numbered.select(*SERIAL_BOOKS.column_names, "author")

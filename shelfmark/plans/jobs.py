@@ -6,14 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from shelfmark.operators import outbox, star
 from shelfmark.operators.fields import SiteProfile, extract_fields
-from shelfmark.operators.integrity import kept_children, number_rows
+from shelfmark.operators.integrity import kept_children, not_in, number_rows
 from shelfmark.operators.links import frontier, normal_url, tile_links
 from shelfmark.operators.messages import publish_frame
-from shelfmark.schema import FIVE_TABLES, FLAT, RAW_FIELDS, THREE_TABLES
+from shelfmark.schema import (
+    BOOKS_PENDING,
+    BRIDGE,
+    FIVE_TABLES,
+    FLAT,
+    RAW_FIELDS,
+    SERIAL_BOOKS,
+    SERIAL_PENDING,
+    SERIAL_TABLES,
+    THREE_TABLES,
+    Table,
+)
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land
 from shelfmark.sinks.tables import CatalogTables
@@ -86,18 +96,42 @@ def load_flat(records: DataFrame, order: list[str], tables: CatalogTables) -> No
 def load_five(records: DataFrame, order: list[str], tables: CatalogTables) -> None:
     """Records to the five tables, parents first; a second run adds nothing.
 
-    Each book has one bridge row, written last. A book without one is new, or
-    was left half-way by a failed run; both are completed the same way.
+    What a run will add is decided once and written whole before any target. A
+    run that fails on the way is completed from there by the next one, before
+    that looks at its own records.
     """
     spark: SparkSession = records.sparkSession
-    tables.create(spark, FIVE_TABLES)
-    have = {t.name: tables.read(spark, t) for t in FIVE_TABLES}
-    accepted = star.book_fact(
-        star.checked_books(records), order, existing=have["book_author_bridge"]
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = star.star(accepted, have)
-        for table in FIVE_TABLES:
-            tables.append(rows[table.name], table)
-    finally:
-        accepted.unpersist()
+    tables.create(spark, (BOOKS_PENDING, *FIVE_TABLES))
+    _complete(spark, tables, BOOKS_PENDING, FIVE_TABLES)
+    loaded = tables.read(spark, BRIDGE)
+    accepted = star.book_fact(star.checked_books(records), order, existing=loaded)
+    tables.replace(accepted, BOOKS_PENDING)
+    _complete(spark, tables, BOOKS_PENDING, FIVE_TABLES)
+
+
+def load_serial(records: DataFrame, order: list[str], tables: CatalogTables) -> None:
+    """Records to the five tables of the serial form; ids go on after the last one.
+
+    Books have no other key, so a second run appends the records again. After a
+    run that failed on the way, the next one first completes it, then adds its
+    own records: to complete it only, hand it none.
+    """
+    spark: SparkSession = records.sparkSession
+    tables.create(spark, (SERIAL_PENDING, *SERIAL_TABLES))
+    _complete(spark, tables, SERIAL_PENDING, SERIAL_TABLES)
+    last = tables.read(spark, SERIAL_BOOKS).agg(F.max("book_id")).first()[0] or 0
+    tables.replace(star.serial_books(star.checked_books(records), order, last), SERIAL_PENDING)
+    _complete(spark, tables, SERIAL_PENDING, SERIAL_TABLES)
+
+
+def _complete(
+    spark: SparkSession, tables: CatalogTables, pending: Table, model: tuple[Table, ...]
+) -> None:
+    """Add what is pending to all tables. A book's bridge row, written last, marks it as done."""
+    have = {t.name: tables.read(spark, t) for t in model}
+    books = not_in(tables.read(spark, pending), have[model[-1].name], pending.key)
+    if books.isEmpty():
+        return
+    rows = star.star(books, have, model)
+    for table in model:
+        tables.append(rows[table.name], table)

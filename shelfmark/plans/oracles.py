@@ -148,9 +148,10 @@ _SHORT = "".join(
         ("series", 100), ("category", 100), ("authors", 255),
     )
 )
-_FIVE = f"""{_cte("v5", {**_V5, "binding": "trim(binding)"})},
+_PASSED = f"""{_cte("v5", {**_V5, "binding": "trim(binding)"})},
 passed AS (SELECT * FROM v5 WHERE concat_ws('|', nullif(unread, ''){_BAD_NUMBERS},
-  CASE WHEN sku = {_M} THEN 'missing_sku' END{_SHORT}) = ''),
+  CASE WHEN sku = {_M} THEN 'missing_sku' END{_SHORT}) = '')"""
+_FIVE = f"""{_PASSED},
 books AS (SELECT * FROM passed QUALIFY row_number() OVER (PARTITION BY sku ORDER BY seq) = 1)"""
 _BOOKS = (
     "sku, title, units_sold, sale_price, list_price, isbn, page_count, length_cm, width_cm, "
@@ -237,6 +238,25 @@ refused AS (SELECT seq, CASE WHEN reasons = '' THEN 'duplicate_sku' ELSE reasons
 
 _NULLS_OF_BOOKS = ", ".join(["NULL"] * 14)
 
+
+def _star(books: str, key: str, fact: str, link: str) -> str:
+    """The tables of a five-table model, tagged; ``books`` ends with a table of that name."""
+    key_type = "VARCHAR" if key == "sku" else "BIGINT"
+    return f"""{_WITH}, {books}, names AS (
+          SELECT DISTINCT 'series' AS tbl, series AS name FROM books
+          UNION SELECT 'category', category FROM books
+          UNION SELECT 'author', authors FROM books)
+        SELECT tbl, name, NULL::VARCHAR AS author, NULL::{key_type} AS {key},
+          NULL::VARCHAR AS title,
+          NULL::INTEGER AS units_sold, NULL::DOUBLE AS sale_price, NULL::DOUBLE AS list_price,
+          NULL::VARCHAR AS isbn, NULL::INTEGER AS page_count, NULL::DOUBLE AS length_cm,
+          NULL::DOUBLE AS width_cm, NULL::INTEGER AS weight_g, NULL::VARCHAR AS binding,
+          NULL::VARCHAR AS description, NULL::VARCHAR AS audience, NULL::VARCHAR AS series,
+          NULL::VARCHAR AS category FROM names
+        UNION ALL SELECT '{fact}', NULL, NULL, {key}, {_BOOKS[5:]} FROM books
+        UNION ALL SELECT '{link}', NULL, authors, {key}, {_NULLS_OF_BOOKS}
+        FROM books"""
+
 SQL: dict[str, str] = {
     "q_docs_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "q_frontier": f"""SELECT DISTINCT {_NORMAL} AS url FROM pages UNION
@@ -372,19 +392,17 @@ SQL: dict[str, str] = {
     "s_ingest_restart": _load("", "seq % 3, seq"),
     "s_ingest_crawler_names": _load("", "seq"),
     "j_load_three": _load("", "seq"),
-    "tables": f"""{_WITH}, {_FIVE}, names AS (
-          SELECT DISTINCT 'series' AS tbl, series AS name FROM books
-          UNION SELECT 'category', category FROM books
-          UNION SELECT 'author', authors FROM books)
-        SELECT tbl, name, NULL::VARCHAR AS author, NULL::VARCHAR AS sku, NULL::VARCHAR AS title,
-          NULL::INTEGER AS units_sold, NULL::DOUBLE AS sale_price, NULL::DOUBLE AS list_price,
-          NULL::VARCHAR AS isbn, NULL::INTEGER AS page_count, NULL::DOUBLE AS length_cm,
-          NULL::DOUBLE AS width_cm, NULL::INTEGER AS weight_g, NULL::VARCHAR AS binding,
-          NULL::VARCHAR AS description, NULL::VARCHAR AS audience, NULL::VARCHAR AS series,
-          NULL::VARCHAR AS category FROM names
-        UNION ALL SELECT 'books', NULL, NULL, {_BOOKS} FROM books
-        UNION ALL SELECT 'book_author_bridge', NULL, authors, sku, {_NULLS_OF_BOOKS}
-        FROM books""",
+    "tables": _star(_FIVE, "sku", "books", "book_author_bridge"),
+    "j_load_five_restart": _star(
+        f"""{_PASSED}, books AS (SELECT * FROM passed
+          QUALIFY row_number() OVER (PARTITION BY sku ORDER BY seq % 3 <> 0, seq) = 1)""",
+        "sku", "books", "book_author_bridge",
+    ),
+    "j_load_serial": _star(
+        f"""{_PASSED}, books AS (SELECT row_number() OVER (ORDER BY run, seq) AS book_id, *
+          FROM passed, range(2) t(run))""",
+        "book_id", "serial_books", "serial_bridge",
+    ),
     "j_load_flat": f"""{_WITH}, {_cte("typed", _V1)}, twice AS (
           SELECT 0 AS run, * FROM typed UNION ALL SELECT 1 AS run, * FROM typed)
         SELECT row_number() OVER (ORDER BY run, seq) AS id, {_FIELDS} FROM twice""",

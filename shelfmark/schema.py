@@ -259,6 +259,9 @@ BRIDGE = Table(
 # The bridge comes last: a book is fully loaded when its bridge row is there.
 FIVE_TABLES = (SERIES, CATEGORY, AUTHOR, BOOKS, BRIDGE)
 
+# What the last load decided to add, whole, so that a failed load can be completed.
+BOOKS_PENDING = Table("books_pending", {**BOOKS.columns, "author": "string"}, key=("sku",))
+
 # The variant whose books carry a generated id instead of the business key.
 SERIAL_BOOKS = Table(
     "serial_books",
@@ -274,6 +277,10 @@ SERIAL_BRIDGE = Table(
     parents=(("serial_books", "book_id", "book_id"), ("author", "author", "name")),
     limits=(("author", 255),),
 )
+SERIAL_TABLES = (SERIES, CATEGORY, AUTHOR, SERIAL_BOOKS, SERIAL_BRIDGE)
+SERIAL_PENDING = Table(
+    "serial_pending", {**SERIAL_BOOKS.columns, "author": "string"}, key=("book_id",)
+)
 
 # One flat table of all typed fields, with a generated id.
 FLAT = Table(

@@ -65,6 +65,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that one of our jobs wrote, wherever it is."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder, for a written table or a stream."""
     return f"{checkpoint_root(spark).rstrip('/')}/shelfmark/{name}-{uuid.uuid4().hex}"

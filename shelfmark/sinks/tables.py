@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.schema import Table
+from shelfmark.session import remove
 
 
 class CatalogTables:
@@ -24,14 +28,14 @@ class CatalogTables:
     def name(self, table: Table) -> str:
         return f"{self.prefix}{table.name}"
 
-    def ddl(self, table: Table) -> str:
+    def ddl(self, table: Table, name: str | None = None, folder: str | None = None) -> str:
         columns = ", ".join(f"{c} {t}" for c, t in table.columns.items())
         layout = ""
         if table.key:
             layout = f" CLUSTERED BY ({table.key[0]}) INTO {self.buckets} BUCKETS"
         return (
-            f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet"
-            f"{layout} LOCATION '{self.location}/{table.name}'"
+            f"CREATE TABLE IF NOT EXISTS {name or self.name(table)} ({columns}) USING parquet"
+            f"{layout} LOCATION '{folder or f'{self.location}/{table.name}'}'"
         )
 
     def create(self, spark: SparkSession, tables: tuple[Table, ...]) -> None:
@@ -42,25 +46,47 @@ class CatalogTables:
     def read(self, spark: SparkSession, table: Table) -> DataFrame:
         return spark.table(self.name(table))
 
-    def append(self, rows: DataFrame, table: Table) -> None:
-        """Add rows: one file per bucket, because tasks hold whole buckets."""
+    def read_keys(self, spark: SparkSession, table: Table, keys: list[str]) -> DataFrame:
+        """The rows with these values of the first key column: only their buckets are read."""
+        return self.read(spark, table).where(F.col(table.key[0]).isin(keys))
+
+    def _by_bucket(self, rows: DataFrame, table: Table) -> DataFrame:
+        """One file per bucket, because tasks hold whole buckets."""
         rows = rows.select(*table.column_names)
-        if table.key:
-            rows = rows.repartition(self.buckets, table.key[0])
-        rows.write.insertInto(self.name(table))
+        return rows.repartition(self.buckets, table.key[0]) if table.key else rows
+
+    def append(self, rows: DataFrame, table: Table) -> None:
+        self._by_bucket(rows, table).write.insertInto(self.name(table))
+
+    def replace(self, rows: DataFrame, table: Table) -> None:
+        """All rows of the table anew. They must not be read from it."""
+        self._by_bucket(rows, table).write.insertInto(self.name(table), overwrite=True)
 
-    def compact(self, spark: SparkSession, table: Table, staging: str) -> None:
-        """One file per bucket again, after many small appends.
+    def compact(self, spark: SparkSession, table: Table) -> None:
+        """One file per bucket again, after many small appends. Run it between batches.
 
-        Run it between batches. The rows are first written whole to ``staging``,
-        so a failure on the way leaves them there or in the table.
+        The rows are written to a folder of their own, to which the table is then
+        turned in one step of the catalogue: a failure at any point leaves the
+        table whole. The old files go last. As the table's place changes, the
+        catalogue must be one that outlives the session.
         """
-        columns = list(table.column_names)
-        self.read(spark, table).select(*columns).write.mode("overwrite").parquet(staging)
-        rows = spark.read.parquet(staging).select(*columns)
-        if table.key:
-            rows = rows.repartition(self.buckets, table.key[0])
-        rows.write.insertInto(self.name(table), overwrite=True)
+        name, mark = self.name(table), uuid.uuid4().hex
+        folder, side = f"{self.location}/{table.name}-{mark}", f"{name}_{mark}"
+        whole = self.read(spark, table)
+        if not whole.inputFiles():
+            return
+        described = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
+        old = described.first()["data_type"]
+        spark.sql(self.ddl(table, side, folder))
+        try:
+            # By its folder: rows of a bucketed table would count as placed by bucket already.
+            rows = spark.read.schema(whole.schema).parquet(old)
+            self._by_bucket(rows, table).write.insertInto(side)
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        finally:
+            spark.sql(f"DROP TABLE {side}")
+        spark.catalog.refreshTable(name)
+        remove(spark, old)
 
 
 class JdbcTables:
@@ -121,6 +147,10 @@ class JdbcTables:
             properties=self.properties,
         )
 
+    def read_keys(self, spark: SparkSession, table: Table, keys: list[str]) -> DataFrame:
+        """The rows with these values of the first key column; the database looks them up."""
+        return self.read(spark, table).where(F.col(table.key[0]).isin(keys))
+
     def append(self, rows: DataFrame, table: Table) -> None:
         """Append over at most ``writers`` connections; what comes before keeps its tasks."""
         rows.select(*table.column_names).repartition(self.writers).write.jdbc(

@@ -23,6 +23,7 @@ from shelfmark.schema import (
 from shelfmark.sinks.tables import CatalogTables, JdbcTables
 
 ORIGIN = ("partition", "offset")
+PROBED = 1000  # skus of a batch up to which they are looked up by value
 
 # Which message a loaded book came from. Read to refuse later copies of a sku
 # and to recognise a replay of the same message.
@@ -79,6 +80,9 @@ class TableSink:
     completes what is missing and adds nothing twice. A batch that follows a
     whole one cannot be a replay, so it skips the per-table check; from the
     start of a batch until its last write the next one is taken for a replay.
+
+    ``compact_every`` batches all tables are compacted, which bounds their files
+    however many small batches there are.
     """
 
     def __init__(
@@ -86,11 +90,14 @@ class TableSink:
         tables: CatalogTables | JdbcTables,
         policy: str = "v1",
         keep_missing_key: bool = False,
+        compact_every: int | None = None,
     ):
         self.tables = tables
         self.policy = policy
         self.keep_missing_key = keep_missing_key
+        self.compact_every = compact_every
         self.may_be_replay = True
+        self.batches = 0
 
     def _append(
         self, rows: DataFrame, table: Table, keys: tuple[str, ...], replay: bool
@@ -99,6 +106,19 @@ class TableSink:
             rows = not_in(rows, self.tables.read(rows.sparkSession, table), keys)
         self.tables.append(rows, table)
 
+    def known(self, batch: DataFrame) -> DataFrame:
+        """Ledger rows that can concern the batch.
+
+        A small batch is looked up by its skus, so only their buckets are read;
+        one with more than ``PROBED`` skus is joined with the whole ledger.
+        """
+        spark = batch.sparkSession
+        skus = sink_typed(batch, self.policy).select("sku").where("sku IS NOT NULL").distinct()
+        few = [r.sku for r in skus.limit(PROBED + 1).collect()]
+        if len(few) > PROBED:
+            return self.tables.read(spark, LEDGER)
+        return self.tables.read_keys(spark, LEDGER, few)
+
     def decide(self, batch: DataFrame) -> DataFrame:
         """All rows of the batch with final ``reasons``, and ``new`` for new books.
 
@@ -109,8 +129,7 @@ class TableSink:
         """
         rows = row_reasons(sink_typed(batch, self.policy), THREE_TABLES, "sku", self.keep_missing_key)
         won = first_wins(good(rows).select("sku", *ORIGIN), ["sku"], ORIGIN)
-        known = self.tables.read(batch.sparkSession, LEDGER)
-        won = won.join(known, "sku", "left").select(
+        won = won.join(self.known(batch), "sku", "left").select(
             "sku",
             *[F.coalesce(f"src_{o}", o).alias(o) for o in ORIGIN],
             F.col("src_offset").isNull().alias("new"),
@@ -140,6 +159,10 @@ class TableSink:
                 F.array_join("reasons", "|").alias("reasons"),
             )
             self._append(refused, REJECTED, REJECTED.key, replay)
+            self.batches += 1
+            if self.compact_every and self.batches % self.compact_every == 0:
+                for table in (LEDGER, *THREE_TABLES, REJECTED):
+                    self.tables.compact(batch.sparkSession, table)
             self.may_be_replay = False
         finally:
             rows.unpersist()

@@ -2,6 +2,8 @@
 
 import time
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions.html import Page, match_rules
@@ -9,14 +11,14 @@ from shelfmark.operators.coerce import type_parsed
 from shelfmark.operators.integrity import number_rows
 from shelfmark.operators.links import host, in_domains
 from shelfmark.operators.skew import salted_join
-from shelfmark.schema import RAW_FIELDS, THREE_TABLES
+from shelfmark.plans import inputs, jobs
+from shelfmark.schema import RAW_FIELDS, SERIAL_TABLES, THREE_TABLES
 from shelfmark.sinks.files import land, last_document
 from shelfmark.sinks.tables import CatalogTables, JdbcTables
 from shelfmark.sources.topic import peek, topic_options
+from shelfmark.streaming import ingest
 from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, parsed
 
-import pyarrow as pa
-
 
 def _message(sku, title, **more):
     fields = {f: "1" for f in RAW_FIELDS} | {"sku": sku, "title": title} | more
@@ -40,8 +42,8 @@ def _topic(spark, rows):
     return whole
 
 
-def _store(spark, tmp_path, name):
-    tables = CatalogTables(str(tmp_path / name), f"{name}_", buckets=4)
+def _store(spark, tmp_path, name, buckets=4):
+    tables = CatalogTables(str(tmp_path / name), f"{name}_", buckets)
     tables.create(spark, (LEDGER, *THREE_TABLES, REJECTED))
     return tables
 
@@ -72,12 +74,78 @@ def test_compaction_keeps_rows(spark, tmp_path):
         sink(parsed(_topic(spark, [(0, n, f"s{n}")])), n)
     book = THREE_TABLES[0]
     before = sorted(map(tuple, tables.read(spark, book).collect()))
-    tables.compact(spark, book, str(tmp_path / "staging"))
-    spark.catalog.refreshTable(tables.name(book))
+    tables.compact(spark, book)
     assert sorted(map(tuple, tables.read(spark, book).collect())) == before
     assert len(tables.read(spark, book).inputFiles()) <= tables.buckets
 
 
+def test_files_stay_few_over_many_batches(spark, tmp_path):
+    tables = _store(spark, tmp_path, "review_many")
+    sink = TableSink(tables, compact_every=5)
+    for n in range(20):
+        sink(parsed(_topic(spark, [(0, 2 * n, f"s{n}"), (0, 2 * n + 1, f"s{n // 2}")])), n)
+    for table in (LEDGER, *THREE_TABLES, REJECTED):
+        assert len(tables.read(spark, table).inputFiles()) <= tables.buckets
+    skus = [r.sku for r in tables.read(spark, THREE_TABLES[0]).collect()]
+    assert sorted(skus) == sorted(f"s{n}" for n in range(20))
+    assert tables.read(spark, REJECTED).count() == 20
+    kept = sorted(p.name.split("-")[0] for p in (tmp_path / "review_many").iterdir())
+    assert kept == sorted(t.name for t in (LEDGER, *THREE_TABLES, REJECTED))
+
+
+def test_a_failed_compaction_leaves_the_table(spark, tmp_path, monkeypatch):
+    tables = _store(spark, tmp_path, "review_torn")
+    sink = TableSink(tables)
+    for n in range(2):
+        sink(parsed(_topic(spark, [(0, n, f"s{n}")])), n)
+    monkeypatch.setattr(tables, "_by_bucket", lambda rows, table: rows.select("absent"))
+    with pytest.raises(Exception, match="absent"):
+        tables.compact(spark, THREE_TABLES[0])
+    assert tables.read(spark, THREE_TABLES[0]).count() == 2
+
+
+def test_small_batch_reads_its_buckets_of_the_ledger(spark, tmp_path, monkeypatch):
+    tables = _store(spark, tmp_path, "review_probe", buckets=8)
+    sink = TableSink(tables)
+    sink(parsed(_topic(spark, [(0, n, f"s{n}") for n in range(8)])), 0)
+    batch = parsed(_topic(spark, [(0, 8, "s3"), (0, 9, "s9")]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sink.decide(batch)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    buckets = {r[0] for r in spark.sql("SELECT pmod(hash(s), 8) FROM VALUES 's3', 's9' t(s)").collect()}
+    assert f"SelectedBucketsCount: {len(buckets)} out of 8" in plan
+    assert "In(sku, [s3,s9])" in plan
+    assert [r.sku for r in sink.known(batch).collect()] == ["s3"]
+    # More skus than are looked up by value: the whole ledger, and the same decision.
+    monkeypatch.setattr(ingest, "PROBED", 1)
+    assert sink.known(batch).count() == 8
+    assert [r.sku for r in sink.decide(batch).where("new").collect()] == ["s9"]
+    nothing = parsed(_topic(spark, [(0, 8, "s3")]).where("false"))
+    assert sink.decide(nothing).count() == 0
+
+
+def test_failed_serial_load_is_completed(spark, sf, tmp_path):
+    rows = inputs.records(spark, sf).limit(40)
+    tables = CatalogTables(str(tmp_path / "s"), "review_serial_", 4)
+    append = tables.append
+
+    def dies(found, table):
+        if table.name == SERIAL_TABLES[-1].name:
+            raise RuntimeError("stopped")
+        append(found, table)
+
+    tables.append = dies
+    with pytest.raises(RuntimeError):
+        jobs.load_serial(rows, ["seq"], tables)
+    tables.append = append
+    jobs.load_serial(rows.limit(0), ["seq"], tables)
+    ids = [r.book_id for r in tables.read(spark, SERIAL_TABLES[-2]).collect()]
+    linked = [r.book_id for r in tables.read(spark, SERIAL_TABLES[-1]).collect()]
+    assert sorted(ids) == sorted(linked) == list(range(1, len(ids) + 1)) and ids
+
+
 def test_v2_in_the_sink(spark, tmp_path):
     tables = _store(spark, tmp_path, "review_v2")
     TableSink(tables, policy="v2")(parsed(_topic(spark, [(0, 0, "s1")])), 0)
