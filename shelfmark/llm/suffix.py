@@ -199,10 +199,12 @@ def slots_for(parts: int) -> int:
     return n
 
 
-def share(slots: int, crowd: int = CROWD):
+def share(slots: int, crowd: int = CROWD, large: int = NO_ID):
     """Tasks: packed anchors of a hash range to packed (key, hash, group) by slots of the key.
 
-    Of anchors seen in two or more documents only.
+    Of anchors seen in two or more documents only. The lowest two bits of a group tell its
+    kind: 1 is an anchor of more than ``crowd`` documents, by itself; the anchors of a
+    smallest document are two groups, 2 of those in more than ``large`` documents, 0 of others.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,7 +223,9 @@ def share(slots: int, crowd: int = CROWD):
         starts = runs(h)
         sizes = np.diff(np.append(starts, len(h)))
         least, most = k[starts], k[starts + sizes - 1]
-        group = np.where(sizes > crowd, h[starts].view(np.int64) * 2 + 1, least * 2)
+        group = np.where(
+            sizes > crowd, h[starts].view(np.int64) * 4 + 1, least * 4 + 2 * (sizes > large)
+        )
         shared = np.repeat(least != most, sizes)
         h, k, group = h[shared], k[shared], np.repeat(group, sizes)[shared]
         slot = k % slots

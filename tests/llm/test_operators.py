@@ -214,7 +214,10 @@ def test_main_text(spark):
     assert pages.extracted(table.limit(0)).count() == 0
 
 
-def test_passages(docs, cases, no_docs):
+@pytest.mark.parametrize("large, crowd", [(windows.LARGE, windows.CROWD), (0, windows.CROWD), (0, 1)])
+def test_passages(docs, cases, no_docs, monkeypatch, large, crowd):
+    monkeypatch.setattr(windows, "LARGE", large)
+    monkeypatch.setattr(windows, "CROWD", crowd)
     spans, reached = windows.passages(docs)
     found = {(r["_key"]): r.spans for r in spans.collect()}
     assert {1, 2, 3, 4} <= set(found) and not {9, 10, 11, 12} & set(found)
