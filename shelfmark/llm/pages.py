@@ -3,7 +3,10 @@
 The standard library's parser streams over the whole page. Its events give
 lines: runs of text between block elements, each with the number of tags met in
 it and the characters that stand in links. Elements that never hold article
-text (by name, role, class or id) are left out with all below them.
+text (by name, role, class or id) are left out with all below them. Blocks left
+out by class or id, and forms, are kept if a ``main`` stands in them, or an
+``article`` and none elsewhere, or if those of one name hold most of the page's
+high-ratio text: layouts use such names for wrappers of the whole page.
 
 Every line has a ratio, its text characters outside links for each of its tags.
 The ratios are smoothed by a Gaussian along the page, and split by two-means
@@ -70,6 +73,8 @@ _OUT_NAME = re.compile(
 _BOXES = {"body", "div", "section", "td", "center"}
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 _NEVER_OUT = {"html", "body", "main", "article"}
+#: Of readers, however long.
+_COMMENTS = re.compile(r".*(?:comment|disqus|replies|respond).*", re.IGNORECASE)
 _HEADERS = re.compile(r"(?:(?:site|page|top|main|global)[-_]?)?header", re.IGNORECASE)
 
 
@@ -81,6 +86,7 @@ class Line:
     region: int  # number of the article or main element, 0 outside
     box: int  # number of the division it stands in
     heading: bool
+    within: tuple[int, ...]  # numbers of the doubtful blocks it stands in
 
 
 class Lines(HTMLParser):
@@ -89,33 +95,49 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
-        self.open: list[tuple[str, bool, int, int]] = []  # name, left out, region, box
+        #: name, left out, region, box, doubtful blocks
+        self.open: list[tuple[str, bool, int, int, tuple[int, ...]]] = []
+        self.doubtful: list[tuple[str, ...]] = []  # the names of each
+        self.mains: set[int] = set()  # doubtful blocks with a main
+        self.articles: set[int] = set()
+        self.plain = False  # an article or main stands in no doubtful block
         self.text: list[str] = []
         self.tags = self.linked = self.links = self.regions = self.boxes = 0
 
     def _state(self) -> tuple[bool, int]:
         return (self.open[-1][1], self.open[-1][2]) if self.open else (False, 0)
 
+    def _within(self) -> tuple[int, ...]:
+        return self.open[-1][4] if self.open else ()
+
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
             heading = any(x[0] in _HEADINGS for x in self.open[-3:])
             box = self.open[-1][3] if self.open else 0
             self.lines.append(
-                Line(text, self.tags, self.linked, self._state()[1], box, heading)
+                Line(text, self.tags, self.linked, self._state()[1], box, heading, self._within())
             )
         self.text, self.tags, self.linked = [], 0, 0
 
-    def _out(self, tag: str, given: dict[str, str | None], region: int) -> bool:
+    def _out(self, tag: str, given: dict[str, str | None], region: int) -> tuple[bool, tuple]:
+        """Is it left out; and if that is in doubt, its names."""
         if tag in _NEVER_OUT and not (tag == "article" and region):
-            return False
-        if tag in _OUT or (given.get("role") or "").lower() in _OUT_ROLES or "hidden" in given:
-            return True
+            return False, ()
+        role = (given.get("role") or "").lower()
+        form = tag == "form" and role in ("", "form")
+        if "hidden" in given or not form and (tag in _OUT or role in _OUT_ROLES):
+            return True, ()
         names = f"{given.get('class') or ''} {given.get('id') or ''}".split()
         if tag == "header" or any(_HEADERS.fullmatch(n) for n in names):
             if not region:
-                return True
-        return any(_OUT_NAME.fullmatch(n) for n in names)
+                return True, ()
+        found = tuple(n for n in names if _OUT_NAME.fullmatch(n))
+        if form:
+            found += ("form",)
+        if found and tag in _BLOCKS:
+            return False, found
+        return bool(found), ()
 
     def handle_starttag(self, tag, attrs):
         out, region = self._state()
@@ -133,13 +155,20 @@ class Lines(HTMLParser):
                 self.text.append(" ")
             return
         given = dict(attrs)
-        gone = out or self._out(tag, given, region)
+        gone, names = (True, ()) if out else self._out(tag, given, region)
+        within = self._within()
+        if names:
+            within += (len(self.doubtful),)
+            self.doubtful.append(names)
         if not gone and (
             tag in ("article", "main") or (given.get("role") or "").lower() in ("main", "article")
         ):
             if not region or tag == "article":
                 self.regions += 1
                 region = self.regions
+            self.plain |= not within
+            main = tag == "main" or (given.get("role") or "").lower() == "main"
+            (self.mains if main else self.articles).update(within)
         if tag == "a" and not gone:
             self.links += 1
         if tag in _BOXES:
@@ -147,7 +176,7 @@ class Lines(HTMLParser):
             box = self.boxes
         else:
             box = self.open[-1][3] if self.open else 0
-        self.open.append((tag, gone, region, box))
+        self.open.append((tag, gone, region, box, within))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -213,6 +242,31 @@ def threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def ratios(lines: list[Line]) -> tuple[np.ndarray, np.ndarray]:
+    """Text characters outside links, and which lines are content."""
+    plain = np.array([max(len(x.text) - x.linked, 0) for x in lines], dtype=float)
+    ratio = smoothed(plain / np.array([max(x.tags, 1) for x in lines]))
+    return plain, ratio >= threshold(ratio)
+
+
+def kept_lines(parser: Lines) -> list[Line]:
+    """Lines without those of doubtful blocks that are no article text."""
+    lines = parser.lines
+    if not any(x.within for x in lines):
+        return lines
+    held: dict[tuple[str, ...], float] = {}
+    plain, content = ratios(lines)
+    for i in np.flatnonzero(content).tolist():
+        for names in {parser.doubtful[b] for b in lines[i].within}:
+            held[names] = held.get(names, 0) + plain[i]
+    most = plain[content].sum() / 2
+    good = set(parser.mains) | (set() if parser.plain else parser.articles)
+    for block, names in enumerate(parser.doubtful):
+        if held.get(names, 0) > most and not any(_COMMENTS.fullmatch(n) for n in names):
+            good.add(block)
+    return [x for x in lines if good.issuperset(x.within)]
+
+
 def main_text(html: str) -> str:
     """The article of a page, a line for each block."""
     parser = Lines()
@@ -220,12 +274,10 @@ def main_text(html: str) -> str:
         parser.feed(html[low : low + _FEED])
     parser.close()
     parser.flush()
-    lines = parser.lines
+    lines = kept_lines(parser)
     if not lines:
         return ""
-    plain = np.array([max(len(x.text) - x.linked, 0) for x in lines], dtype=float)
-    ratio = smoothed(plain / np.array([max(x.tags, 1) for x in lines]))
-    content = ratio >= threshold(ratio)
+    plain, content = ratios(lines)
     weight: dict[int, float] = {}
     for line, own, chosen in zip(lines, plain, content, strict=True):
         if line.region:
