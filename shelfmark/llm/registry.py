@@ -7,6 +7,7 @@ from shelfmark.llm import (
     hnsw,
     language,
     mixing,
+    packing,
     pages,
     quality,
     simhash,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_bpe": bpe.op9_bpe,
     "op10_language_id": language.op10_language_id,
+    "op13_packing": packing.op13_packing,
 }
 
 SQL = {
