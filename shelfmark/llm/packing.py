@@ -21,8 +21,9 @@ same rows in the same order and gives the same sequences.
 
 Tokens are those of the tokenizers library: pre-tokens are cut by a pattern
 equal to the vocabulary's for Latin text (any other text is encoded whole by the
-library), and the library encodes each distinct one; the answers are kept for
-the task up to ``KEPT`` pieces, a cache only.
+library), and each distinct one is encoded once by its byte pairs, with the
+tiktoken library where the file's merges are the ranks it needs; the answers
+are kept for the task up to ``KEPT`` pieces, a cache only.
 
 Cases: a null or empty text has the end id alone; a text is whole, however
 long; repeated rows are packed once each; a null ``doc_id`` stays null; an empty
@@ -32,7 +33,9 @@ has a sequence of its own, with ``fits`` false; null demands count as zero.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -43,12 +46,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.bpe import _STAND_INS as STAND_INS
 from shelfmark.llm.common import sliced, table
 
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 KEPT = 500_000  # pieces remembered by a task
 POOL = 2048  # examples a task chooses from
+_LONG = 1000  # characters of a piece that only the vocabulary's own library encodes
 
 
 @dataclass(frozen=True)
@@ -72,38 +77,65 @@ _LATIN = re.compile(
 _OTHER = re.compile("[^\x00-ɏ‐-‧‰-⁞₠-₿]")
 
 
+class Pieces(dict):
+    """Ids of pre-tokens; one not seen before is encoded when it is asked for."""
+
+    def __init__(self, whole, model: dict):
+        super().__init__()
+        self.whole, self.ranked = whole, self._ranked(model)
+
+    @staticmethod
+    def _ranked(model: dict):
+        """The same byte pairs for tiktoken; none where an id is not the rank of its merge."""
+        vocabulary = model["vocab"]
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        made = [vocabulary[a + b] for a, b in merges]
+        if made != list(range(len(STAND_INS), len(vocabulary))):
+            return None
+        import tiktoken
+
+        byte = {chr(code): b for b, code in STAND_INS.items()}
+        ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items()}
+        # A piece is never split again.
+        return tiktoken.Encoding(
+            "pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}
+        )
+
+    def encoded(self, text: str) -> bytes:
+        ids = self.whole.encode(text, add_special_tokens=False).ids
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= KEPT:
+            self.clear()
+        if self.ranked is None or len(piece) > _LONG:
+            found = self.encoded(piece)
+        else:
+            ids = self.ranked.encode_ordinary(piece)
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self[piece] = found
+        return found
+
+
 class Ids:
     """Token ids of texts, as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, text: str):
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_str(text)
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
+        whole = Tokenizer.from_str(text)
+        whole.no_truncation()
+        whole.no_padding()
+        special = {t.content: i for i, t in whole.get_added_tokens_decoder().items()}
         self.special = {t: np.uint32(i).tobytes() for t, i in special.items()}
         self.at_special = re.compile("(" + "|".join(map(re.escape, special)) + ")")
-        self.known: dict[str, bytes] = {}
-
-    def encoded(self, text: str) -> bytes:
-        ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        self.known = Pieces(whole, json.loads(text)["model"])
 
     def part(self, text: str) -> bytes:
         """Ids of a text without special tokens."""
         if _OTHER.search(text):
-            return self.encoded(text)
-        pieces = _LATIN.findall(text)
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            if len(known) > KEPT:
-                known.clear()
-            for piece in set(pieces).difference(known):
-                known[piece] = self.encoded(piece)
-            return b"".join(map(known.__getitem__, pieces))
+            return self.known.encoded(text)
+        return b"".join(map(self.known.__getitem__, _LATIN.findall(text)))
 
     def of(self, text: str) -> bytes:
         if "<|" not in text:

@@ -107,6 +107,20 @@ def test_ids_of_hard_texts(text):
     assert np.frombuffer(encoder.of(text), dtype="<u4").tolist() == wanted(text)[:-1]
 
 
+def test_pieces_of_two_tokens():
+    """Where merges by rank and merges by list could part: tokens side by side."""
+    with open(public_tokenizers.path(packing.VOCABULARY), encoding="utf-8") as file:
+        encoder = packing.ids_of(file.read())
+    assert encoder.known.ranked is not None
+    words = [LIBRARY.decode([i]) for i in range(50256)]
+    words = [w for w in words if w.strip().isascii() and w.strip().isalpha()]
+    rng = np.random.default_rng(1)
+    texts = [*words, *[words[a] + words[b].strip() for a, b in rng.integers(0, len(words), (20000, 2))]]
+    encoder.known.clear()
+    for text, found in zip(texts, LIBRARY.encode_batch(texts, add_special_tokens=False)):
+        assert np.frombuffer(encoder.known[text], dtype="<u4").tolist() == found.ids, text
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.characters(max_codepoint=0x2100, exclude_categories=["Cs"]), max_size=60))
 def test_ids_of_any_text(text):
