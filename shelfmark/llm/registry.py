@@ -13,6 +13,7 @@ from shelfmark.llm import (
     simhash,
     suffix,
     tokencount,
+    variants,
     windows,
 )
 
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_bpe": bpe.op9_bpe,
     "op10_language_id": language.op10_language_id,
+    "op12_spelling_variants": variants.op12_spelling_variants,
     "op13_packing": packing.op13_packing,
 }
 
