@@ -13,6 +13,7 @@ from shelfmark.llm import (
     simhash,
     suffix,
     tokencount,
+    trie,
     variants,
     windows,
 )
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_bpe": bpe.op9_bpe,
     "op10_language_id": language.op10_language_id,
+    "op11_prefix_trie": trie.op11_prefix_trie,
     "op12_spelling_variants": variants.op12_spelling_variants,
     "op13_packing": packing.op13_packing,
 }
