@@ -225,13 +225,14 @@ UNION ALL SELECT 'rejected', CAST(r.seq AS VARCHAR), r.why, NULL, NULL, NULL, NU
   NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM refused r"""
 
 
-def _load(checked: str, winner: str) -> str:
+def _load(checked: str, winner: str, offset: str = "seq") -> str:
     """Result of loading messages: a dropped size or weight is an absent field."""
     return f"""{_WITH}, {_cte("v1", _V1)},
 checked AS (SELECT *, concat_ws('|', {_CHECK}) AS reasons FROM v1){checked},
 accepted AS (SELECT * FROM checked WHERE reasons = ''
   QUALIFY row_number() OVER (PARTITION BY sku ORDER BY {winner}) = 1),
-refused AS (SELECT seq, CASE WHEN reasons = '' THEN 'duplicate_sku' ELSE reasons END AS why
+refused AS (SELECT {offset} AS seq,
+    CASE WHEN reasons = '' THEN 'duplicate_sku' ELSE reasons END AS why
   FROM checked WHERE seq NOT IN (SELECT seq FROM accepted))
 {_THREE}"""
 
@@ -390,6 +391,8 @@ SQL: dict[str, str] = {
     "j_relay": f"""{_WITH} SELECT seq AS "offset", sku, title FROM ({_PENDING})""",
     "s_ingest": _load("", "seq % 2, seq"),
     "s_ingest_restart": _load("", "seq % 3, seq"),
+    "s_ingest_torn": _load("", "seq % 2, seq"),
+    "s_ingest_recreated_topic": _load("", "seq % 2, seq", "seq - seq % 2 * 3"),
     "s_ingest_crawler_names": _load("", "seq"),
     "j_load_three": _load("", "seq"),
     "tables": _star(_FIVE, "sku", "books", "book_author_bridge"),

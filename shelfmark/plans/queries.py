@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import partial
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,7 @@ from shelfmark.schema import (
 )
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land, read_csv, write_csv, write_json
-from shelfmark.sinks.tables import CatalogTables
+from shelfmark.sinks.tables import BatchTables, CatalogTables
 from shelfmark.sinks.topic import write_topic_files
 from shelfmark.sources.documents import read_documents
 from shelfmark.sources.pages import read_pages
@@ -527,6 +528,49 @@ def s_ingest_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _three(spark, tables)
 
 
+def s_ingest_torn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops after the second write of a batch, and goes on from a new sink.
+
+    Rows a reader finds of the torn batch would be in the result as ``torn``: there are none.
+    """
+    topic, checkpoint = scratch_dir(spark, "topic"), scratch_dir(spark, "offsets")
+    tables = BatchTables(scratch_dir(spark, "tables"), f"torn_{topic[-8:]}_", buckets=8)
+    model = (LEDGER, *THREE_TABLES, REJECTED)
+    tables.create(spark, model)
+    sinks = (TableSink(tables), TableSink(_FailsOnce(tables, BOOK_AUTHOR.name)), TableSink(tables))
+    rows, seen = inputs.messages(spark, sf_dir), {}
+    for part, sink in enumerate(sinks):
+        if part < 2:
+            drop = rows.where(F.col("offset") % 2 == part)
+            write_topic_files(drop, topic, F.col("offset"))
+        try:
+            drain(spark, stream_topic_files(spark, topic), sink, checkpoint)
+        except StreamingQueryException:
+            seen["after"] = {t.name: tables.read(spark, t).count() for t in model}
+        else:
+            seen.setdefault("before", {t.name: tables.read(spark, t).count() for t in model})
+    torn = [(t.name,) for t in model if seen["after"][t.name] != seen["before"][t.name]]
+    found = spark.createDataFrame(torn, "title string").withColumn("tbl", F.lit("torn"))
+    return _three(spark, tables).unionByName(found, allowMissingColumns=True)
+
+
+def s_ingest_recreated_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics made anew, whose offsets start again, also with the sku that was there before.
+
+    The first two go through one sink; a second sink reads the new topic from the start.
+    """
+    rows = inputs.messages(spark, sf_dir)
+    old, new = scratch_dir(spark, "topic"), scratch_dir(spark, "topic")
+    tables = CatalogTables(scratch_dir(spark, "tables"), f"anew_{old[-8:]}_", buckets=8)
+    tables.create(spark, (LEDGER, *THREE_TABLES, REJECTED))
+    write_topic_files(rows.where("offset % 2 = 0"), old, F.col("offset"))
+    write_topic_files(rows.where("offset % 2 = 1"), new, F.col("offset") - 3)
+    sink = TableSink(tables)
+    for topic, into in ((old, sink), (new, sink), (new, TableSink(tables))):
+        drain(spark, stream_topic_files(spark, topic), into, scratch_dir(spark, "offsets"))
+    return _three(spark, tables)
+
+
 class _FailsOnce:
     """Tables of which one cannot be written."""
 
@@ -534,23 +578,19 @@ class _FailsOnce:
         self.tables = tables
         self.refused = name
 
-    def read(self, spark: SparkSession, table: Table) -> DataFrame:
-        return self.tables.read(spark, table)
-
-    def read_keys(self, spark: SparkSession, table: Table, keys: list[str]) -> DataFrame:
-        return self.tables.read_keys(spark, table, keys)
-
-    def replace(self, rows: DataFrame, table: Table) -> None:
-        self.tables.replace(rows, table)
-
-    def create(self, spark: SparkSession, made: tuple[Table, ...]) -> None:
-        self.tables.create(spark, made)
+    def __getattr__(self, name: str):
+        return getattr(self.tables, name)
 
     def append(self, rows: DataFrame, table: Table) -> None:
         if table.name == self.refused:
             raise RuntimeError("the write failed")
         self.tables.append(rows, table)
 
+    def put(self, rows: DataFrame, table: Table, batch: str) -> None:
+        if table.name == self.refused:
+            raise RuntimeError("the write failed")
+        self.tables.put(rows, table, batch)
+
 
 def s_ingest_crawler_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stream over messages with the crawler's own field names."""
@@ -713,6 +753,8 @@ QUERIES: dict[str, Query] = {
     "j_relay": j_relay,
     "s_ingest": s_ingest,
     "s_ingest_restart": s_ingest_restart,
+    "s_ingest_torn": s_ingest_torn,
+    "s_ingest_recreated_topic": s_ingest_recreated_topic,
     "s_ingest_crawler_names": s_ingest_crawler_names,
     "j_load_three": j_load_three,
     "tables": tables,

@@ -65,10 +65,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Make a folder, wherever it is, if it is not there."""
+    files, path = _file_system(spark, folder)
+    files.mkdirs(path)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder that one of our jobs wrote, wherever it is."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

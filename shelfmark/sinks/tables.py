@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.schema import Table
-from shelfmark.session import remove
+from shelfmark.session import make_folder, remove
 
 
 class CatalogTables:
@@ -20,6 +20,9 @@ class CatalogTables:
     an executor's memory: thousands at 100 TB.
     """
 
+    #: Whether readers see whole batches only.
+    whole = False
+
     def __init__(self, location: str, prefix: str = "", buckets: int = 16):
         self.location = location
         self.prefix = prefix
@@ -62,7 +65,7 @@ class CatalogTables:
         """All rows of the table anew. They must not be read from it."""
         self._by_bucket(rows, table).write.insertInto(self.name(table), overwrite=True)
 
-    def compact(self, spark: SparkSession, table: Table) -> None:
+    def compact(self, spark: SparkSession, *tables: Table) -> None:
         """One file per bucket again, after many small appends. Run it between batches.
 
         The rows are written to a folder of their own, to which the table is then
@@ -70,6 +73,10 @@ class CatalogTables:
         table whole. The old files go last. As the table's place changes, the
         catalogue must be one that outlives the session.
         """
+        for table in tables:
+            self._compact(spark, table)
+
+    def _compact(self, spark: SparkSession, table: Table) -> None:
         name, mark = self.name(table), uuid.uuid4().hex
         folder, side = f"{self.location}/{table.name}-{mark}", f"{name}_{mark}"
         whole = self.read(spark, table)
@@ -89,6 +96,135 @@ class CatalogTables:
         remove(spark, old)
 
 
+class BatchTables(CatalogTables):
+    """Tables of which readers see whole batches only, over all tables at once.
+
+    Rows lie in one partition for each batch. Writing a batch replaces its own
+    partition, so a batch that failed on the way is simply written again. A
+    batch counts when its name is in the table of commits, which one file adds
+    in one step, after all tables are written. Under the name of each table is a
+    view of the batches that count: there is no moment at which a reader finds a
+    book without its details.
+
+    One job writes at a time. Compaction writes all that counts as one batch,
+    then turns the table of commits to it in one step of the catalogue; what it
+    replaced is removed by the next compaction, so readers may finish.
+    """
+
+    whole = True
+
+    def stored(self, table: Table) -> str:
+        """The table that holds the rows of all batches."""
+        return f"{self.prefix}{table.name}_batches"
+
+    @property
+    def commits(self) -> str:
+        return f"{self.prefix}batch_commits"
+
+    def ddl(self, table: Table, name: str | None = None, folder: str | None = None) -> str:
+        plain = super().ddl(table, name or self.stored(table), folder)
+        with_batch = plain.replace(") USING parquet", ", batch string) USING parquet", 1)
+        return with_batch.replace("USING parquet", "USING parquet PARTITIONED BY (batch)", 1)
+
+    def view(self, table: Table) -> str:
+        return (
+            f"CREATE VIEW IF NOT EXISTS {self.name(table)} AS "
+            f"SELECT {', '.join(table.column_names)} FROM {self.stored(table)} "
+            f"WHERE batch IN (SELECT batch FROM {self.commits})"
+        )
+
+    def create(self, spark: SparkSession, tables: tuple[Table, ...]) -> None:
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.commits} (batch string) USING parquet "
+            f"LOCATION '{self.location}/batch_commits'"
+        )
+        for table in tables:
+            if not spark.catalog.tableExists(self.stored(table)):
+                spark.sql(self.ddl(table))
+                make_folder(spark, f"{self.location}/{table.name}")
+                # Batches that an earlier catalogue knew.
+                spark.sql(f"ALTER TABLE {self.stored(table)} RECOVER PARTITIONS")
+            spark.sql(self.view(table))
+
+    def batch_name(self, spark: SparkSession, batch_id: int) -> str:
+        """The same for a batch of a stream that is taken again; outside of a stream, a new one.
+
+        The number alone does not name it: a stream whose checkpoint is lost counts from zero.
+        """
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        return f"{query or uuid.uuid4().hex}-{batch_id}"
+
+    def read(self, spark: SparkSession, table: Table) -> DataFrame:
+        # A stream writes from a session of its own; this one may remember older files.
+        spark.catalog.refreshTable(self.commits)
+        spark.catalog.refreshTable(self.stored(table))
+        return super().read(spark, table)
+
+    def holds(self, spark: SparkSession, batch: str) -> bool:
+        """Does the batch count already?"""
+        spark.catalog.refreshTable(self.commits)
+        return not spark.table(self.commits).where(F.col("batch") == batch).isEmpty()
+
+    def put(self, rows: DataFrame, table: Table, batch: str) -> None:
+        """The rows of a batch, in place of what an earlier try wrote."""
+        self._insert(rows, table, batch, "OVERWRITE TABLE")
+
+    def _insert(self, rows: DataFrame, table: Table, batch: str, how: str) -> None:
+        side = f"batch_{uuid.uuid4().hex}"
+        self._by_bucket(rows, table).createOrReplaceTempView(side)
+        try:
+            rows.sparkSession.sql(
+                f"INSERT {how} {self.stored(table)} PARTITION (batch = '{batch}') "
+                f"SELECT {', '.join(table.column_names)} FROM {side}"
+            )
+        finally:
+            rows.sparkSession.catalog.dropTempView(side)
+
+    def commit(self, spark: SparkSession, *batches: str) -> None:
+        """Let batches count, in one file."""
+        self._names(spark, batches).write.insertInto(self.commits)
+
+    @staticmethod
+    def _names(spark: SparkSession, batches: tuple[str, ...]) -> DataFrame:
+        names = F.explode(F.array(*[F.lit(b) for b in batches])).alias("batch")
+        return spark.range(1, numPartitions=1).select(names)
+
+    def append(self, rows: DataFrame, table: Table) -> None:
+        """A batch of its own, in one table."""
+        batch = self.batch_name(rows.sparkSession, 0)
+        self.put(rows, table, batch)
+        self.commit(rows.sparkSession, batch)
+
+    def replace(self, rows: DataFrame, table: Table) -> None:
+        raise NotImplementedError("batches of several tables count together: put and commit them")
+
+    def compact(self, spark: SparkSession, *tables: Table) -> None:
+        """All batches of all tables as one, with one file per bucket."""
+        live = {r.batch for r in spark.table(self.commits).collect()}
+        if len(live) < 2:
+            return
+        self._remove_others(spark, tables, live)
+        batch = f"whole-{uuid.uuid4().hex}"
+        for table in tables:
+            self._insert(self.read(spark, table), table, batch, "INTO")
+        folder = f"{self.location}/batch_commits-{batch}"
+        described = spark.sql(f"DESCRIBE FORMATTED {self.commits}").where("col_name = 'Location'")
+        old = described.first()["data_type"]
+        self._names(spark, (batch,)).write.parquet(folder)
+        spark.sql(f"ALTER TABLE {self.commits} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(self.commits)
+        remove(spark, old)
+
+    def _remove_others(self, spark: SparkSession, tables: tuple[Table, ...], live: set) -> None:
+        """Partitions of batches that do not count: torn ones, and those that were compacted."""
+        for table in tables:
+            for row in spark.sql(f"SHOW PARTITIONS {self.stored(table)}").collect():
+                batch = row[0].removeprefix("batch=")
+                if batch not in live:
+                    spark.sql(f"ALTER TABLE {self.stored(table)} DROP PARTITION (batch = '{batch}')")
+                    remove(spark, f"{self.location}/{table.name}/batch={batch}")
+
+
 class JdbcTables:
     """Tables of a database, through Spark's JDBC source.
 
@@ -96,6 +232,7 @@ class JdbcTables:
     limits; ``ddl`` gives its text.
     """
 
+    whole = False
     _TYPES = {"string": "TEXT", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE PRECISION"}
 
     def __init__(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -20,16 +22,17 @@ from shelfmark.schema import (
     THREE_TABLES,
     Table,
 )
-from shelfmark.sinks.tables import CatalogTables, JdbcTables
+from shelfmark.session import remove, scratch_dir
+from shelfmark.sinks.tables import BatchTables, CatalogTables, JdbcTables
 
 ORIGIN = ("partition", "offset")
-PROBED = 1000  # skus of a batch up to which they are looked up by value
+PROBED = 1000  # keys of a batch up to which they are looked up by value
 
 # Which message a loaded book came from. Read to refuse later copies of a sku
 # and to recognise a replay of the same message.
 LEDGER = Table(
     "book_origin",
-    {"sku": "string", "src_partition": "int", "src_offset": "bigint"},
+    {"sku": "string", "src_partition": "int", "src_offset": "bigint", "message_id": "string"},
     key=("sku",),
 )
 
@@ -37,15 +40,30 @@ LEDGER = Table(
 REJECTED = Table(
     "rejected",
     {
+        "message_id": "string",
         "src_partition": "int",
         "src_offset": "bigint",
         "message": "string",
         "reasons": "string",
     },
-    key=("src_partition", "src_offset"),
+    key=("message_id",),
 )
 
 
+def message_id(messages: DataFrame) -> Column:
+    """What tells a message from every other: a digest of its value, place, topic and time.
+
+    The place alone does not: offsets start again in another topic, or in one
+    that was made anew. Topic and time count where the messages have them.
+    """
+    place = {"topic": "topic", "partition": "partition", "offset": "offset"}
+    if "timestamp" in messages.columns:
+        place["timestamp"] = "unix_micros(CAST(timestamp AS TIMESTAMP))"
+    texts = [f"coalesce(CAST({e} AS STRING), '')" for c, e in place.items() if c in messages.columns]
+    head = f"CAST(concat_ws('|', {', '.join(texts)}, '') AS BINARY)"
+    return F.expr(f"md5(concat({head}, coalesce(CAST(value AS BINARY), X'')))")
+
+
 def parsed(messages: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """Text record per message, with its origin; the same for batch and stream.
 
@@ -55,7 +73,8 @@ def parsed(messages: DataFrame, names: dict[str, str] | None = None) -> DataFram
     schema = T.StructType(
         [T.StructField(names.get(f.name, f.name), f.dataType) for f in RAW_SCHEMA.fields]
     )
-    rows = parse_messages(messages.select("value", *ORIGIN), schema, keep_as="message")
+    identity = message_id(messages).alias("message_id")
+    rows = parse_messages(messages.select("value", *ORIGIN, identity), schema, keep_as="message")
     return rows.withColumnsRenamed({theirs: ours for ours, theirs in names.items()})
 
 
@@ -74,12 +93,17 @@ def typed(
 class TableSink:
     """The ``foreachBatch`` callback: one micro-batch into all tables.
 
-    The books to load are decided once per batch, then written parents first.
-    Each write leaves out keys that are already there, so a batch that is
-    replayed after a failure, or a topic that is read again from the start,
-    completes what is missing and adds nothing twice. A batch that follows a
-    whole one cannot be a replay, so it skips the per-table check; from the
-    start of a batch until its last write the next one is taken for a replay.
+    What to load is decided once per batch, then written parents first.
+
+    ``BatchTables`` show readers whole batches only: each write replaces the
+    batch's own partition, and a row written last makes the batch count. A
+    batch that is replayed is written anew, or left alone where it counts already.
+
+    Other tables take appends. A book is new if the ledger, written first, does
+    not know its sku, so new books are appended as they are. Messages that the
+    ledger knows are a replay: of these a table takes the keys it does not have,
+    so a batch that failed on the way, or a topic read again from the start,
+    completes what is missing and adds nothing twice.
 
     ``compact_every`` batches all tables are compacted, which bounds their files
     however many small batches there are.
@@ -87,7 +111,7 @@ class TableSink:
 
     def __init__(
         self,
-        tables: CatalogTables | JdbcTables,
+        tables: BatchTables | CatalogTables | JdbcTables,
         policy: str = "v1",
         keep_missing_key: bool = False,
         compact_every: int | None = None,
@@ -96,77 +120,113 @@ class TableSink:
         self.policy = policy
         self.keep_missing_key = keep_missing_key
         self.compact_every = compact_every
-        self.may_be_replay = True
         self.batches = 0
 
-    def _append(
-        self, rows: DataFrame, table: Table, keys: tuple[str, ...], replay: bool
-    ) -> None:
-        if replay:
-            rows = not_in(rows, self.tables.read(rows.sparkSession, table), keys)
-        self.tables.append(rows, table)
-
-    def known(self, batch: DataFrame) -> DataFrame:
-        """Ledger rows that can concern the batch.
+    def _stored(self, table: Table, keys: DataFrame) -> DataFrame:
+        """Rows of a table that can have one of these values of its first key column.
 
-        A small batch is looked up by its skus, so only their buckets are read;
-        one with more than ``PROBED`` skus is joined with the whole ledger.
+        A few are looked up by value, so only their buckets are read; for more
+        than ``PROBED`` this is the whole table.
         """
-        spark = batch.sparkSession
-        skus = sink_typed(batch, self.policy).select("sku").where("sku IS NOT NULL").distinct()
-        few = [r.sku for r in skus.limit(PROBED + 1).collect()]
+        few = [r[0] for r in keys.where(F.col(table.key[0]).isNotNull()).limit(PROBED + 1).collect()]
         if len(few) > PROBED:
-            return self.tables.read(spark, LEDGER)
-        return self.tables.read_keys(spark, LEDGER, few)
+            return self.tables.read(keys.sparkSession, table)
+        return self.tables.read_keys(keys.sparkSession, table, few)
+
+    def known(self, batch: DataFrame) -> DataFrame:
+        """Ledger rows that can concern the batch."""
+        return self._stored(LEDGER, sink_typed(batch, self.policy).select("sku").distinct())
 
     def decide(self, batch: DataFrame) -> DataFrame:
-        """All rows of the batch with final ``reasons``, and ``new`` for new books.
+        """All rows of the batch with final ``reasons``, and ``new`` for books to load.
 
-        A loaded sku keeps the message it came from, so only a replay of that
-        message passes; of the messages with another sku the first one does.
-        A message is told by sku and origin: offsets may start again in another
-        topic, or in one that was made anew.
+        ``new`` is true for a book to add, false for the message a loaded book
+        came from, null for every other row. A loaded sku keeps its message, so
+        only that message passes again; of the messages with another sku the
+        first one does. Of one message that is there several times one row passes,
+        and the others are not refused.
         """
+        if "_row" not in batch.columns:
+            batch = batch.withColumn("_row", F.monotonically_increasing_id())
         rows = row_reasons(sink_typed(batch, self.policy), THREE_TABLES, "sku", self.keep_missing_key)
-        won = first_wins(good(rows).select("sku", *ORIGIN), ["sku"], ORIGIN)
-        won = won.join(self.known(batch), "sku", "left").select(
+        place = F.struct(*ORIGIN, "_row").alias("_place")
+        # Copies of one message meet in the tasks first.
+        one = good(rows).select("sku", "message_id", place)
+        one = one.groupBy("sku", "message_id").agg(F.min("_place").alias("_place"))
+        won = first_wins(one, ["sku"], ["_place"])
+        ledger = self.known(batch).select("sku", F.col("message_id").alias("_loaded"))
+        won = won.join(ledger, "sku", "left").select(
             "sku",
-            *[F.coalesce(f"src_{o}", o).alias(o) for o in ORIGIN],
-            F.col("src_offset").isNull().alias("new"),
+            F.coalesce("_loaded", "message_id").alias("message_id"),
+            F.col("_loaded").isNull().alias("_new"),
         )
-        labelled = rows.join(won, ["sku", *ORIGIN], "left")
-        refused = (F.size("reasons") == 0) & F.col("new").isNull()
-        return labelled.withColumn(
-            "reasons",
-            F.when(refused, F.array(F.lit("duplicate_sku"))).otherwise(F.col("reasons")),
+        won = won.join(one, ["sku", "message_id"])
+        won = won.select("sku", "message_id", "_new", F.col("_place._row").alias("_first"))
+        labelled = rows.join(won, ["sku", "message_id"], "left")
+        refused = (F.size("reasons") == 0) & F.col("_new").isNull()
+        return (
+            labelled.withColumn("new", F.when(F.col("_first") == F.col("_row"), F.col("_new")))
+            .withColumn(
+                "reasons",
+                F.when(refused, F.array(F.lit("duplicate_sku"))).otherwise(F.col("reasons")),
+            )
+            .drop("_new", "_first", "_row")
         )
 
+    def _refused(self, rows: DataFrame) -> DataFrame:
+        """Refused messages that are not stored yet, each once."""
+        source = [F.col(o).alias(f"src_{o}") for o in ORIGIN]
+        why = F.array_join("reasons", "|").alias("reasons")
+        refused = quarantined(rows).select("message_id", *source, "message", why)
+        refused = refused.dropDuplicates(["message_id"])
+        return not_in(refused, self._stored(REJECTED, refused.select("message_id")), ["message_id"])
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        replay, self.may_be_replay = self.may_be_replay, True
+        spark = batch.sparkSession
+        name = self.tables.batch_name(spark, batch_id) if self.tables.whole else None
+        if name and self.tables.holds(spark, name):
+            return
+        batch = batch.withColumn("_row", F.monotonically_increasing_id())
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = self.decide(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        folder = scratch_dir(spark, "batch")
+
+        def fixed(rows: DataFrame, part: str) -> DataFrame:
+            """Written, so that what was decided stays as it is when the tables grow."""
+            rows.write.parquet(f"{folder}/{part}")
+            return spark.read.schema(rows.schema).parquet(f"{folder}/{part}")
+
         try:
+            rows = fixed(self.decide(batch), "rows")
+            refused = fixed(self._refused(rows), "refused")
+            replayed = not name and not rows.where("NOT new").isEmpty()
+
+            def load(table: Table, made: Callable[[DataFrame], DataFrame]) -> None:
+                found = made(rows.where("new"))
+                if replayed:
+                    again, stored = made(rows.where("NOT new")), self.tables.read(spark, table)
+                    found = found.unionByName(not_in(again, stored, table.key))
+                self._write(found, table, name)
+
             source = [F.col(o).alias(f"src_{o}") for o in ORIGIN]
-            admitted = good(rows)
-            self.tables.append(admitted.where("new").select("sku", *source), LEDGER)
-            self._append(project.book(admitted), BOOK, BOOK.key, replay)
-            authors = project.book_author(admitted, blank=True)
-            self._append(authors, BOOK_AUTHOR, BOOK_AUTHOR.key, replay)
-            self._append(project.detail(admitted), DETAIL, DETAIL.key, replay)
-            refused = quarantined(rows).select(
-                *source,
-                "message",
-                F.array_join("reasons", "|").alias("reasons"),
-            )
-            self._append(refused, REJECTED, REJECTED.key, replay)
+            self._write(rows.where("new").select("sku", *source, "message_id"), LEDGER, name)
+            load(BOOK, project.book)
+            load(BOOK_AUTHOR, lambda books: project.book_author(books, blank=True))
+            load(DETAIL, project.detail)
+            self._write(refused, REJECTED, name)
+            if name:
+                self.tables.commit(spark, name)
             self.batches += 1
             if self.compact_every and self.batches % self.compact_every == 0:
-                for table in (LEDGER, *THREE_TABLES, REJECTED):
-                    self.tables.compact(batch.sparkSession, table)
-            self.may_be_replay = False
+                self.tables.compact(spark, LEDGER, *THREE_TABLES, REJECTED)
         finally:
-            rows.unpersist()
             batch.unpersist()
+            remove(spark, folder)
+
+    def _write(self, rows: DataFrame, table: Table, name: str | None) -> None:
+        if name:
+            self.tables.put(rows, table, name)
+        else:
+            self.tables.append(rows, table)
 
 
 def start(

@@ -64,7 +64,7 @@ def test_two_partitions_reject_by_both_columns(spark, tmp_path):
     sink(batch, 0)
     refused = {(r.src_partition, r.src_offset) for r in tables.read(spark, REJECTED).collect()}
     assert refused == {(0, 1), (1, 1)}
-    assert "PRIMARY KEY (src_partition, src_offset)" in JdbcTables("", {}).ddl(REJECTED)
+    assert "PRIMARY KEY (message_id)" in JdbcTables("", {}).ddl(REJECTED)
 
 
 def test_compaction_keeps_rows(spark, tmp_path):
