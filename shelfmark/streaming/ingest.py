@@ -133,12 +133,18 @@ class TableSink:
             return self.tables.read(keys.sparkSession, table)
         return self.tables.read_keys(keys.sparkSession, table, few)
 
-    def known(self, batch: DataFrame) -> DataFrame:
-        """Ledger rows that can concern the batch."""
-        return self._stored(LEDGER, sink_typed(batch, self.policy).select("sku").distinct())
+    def checked(self, batch: DataFrame) -> DataFrame:
+        """Typed rows with what each alone tells against it, and a number for each."""
+        numbered = batch.withColumn("_row", F.monotonically_increasing_id())
+        typed_rows = sink_typed(numbered, self.policy)
+        return row_reasons(typed_rows, THREE_TABLES, "sku", self.keep_missing_key)
 
-    def decide(self, batch: DataFrame) -> DataFrame:
-        """All rows of the batch with final ``reasons``, and ``new`` for books to load.
+    def known(self, rows: DataFrame) -> DataFrame:
+        """Ledger rows that can concern these rows."""
+        return self._stored(LEDGER, rows.select("sku").distinct())
+
+    def decide(self, rows: DataFrame) -> DataFrame:
+        """All rows of a checked batch with final ``reasons``, and ``new`` for books to load.
 
         ``new`` is true for a book to add, false for the message a loaded book
         came from, null for every other row. A loaded sku keeps its message, so
@@ -146,15 +152,12 @@ class TableSink:
         first one does. Of one message that is there several times one row passes,
         and the others are not refused.
         """
-        if "_row" not in batch.columns:
-            batch = batch.withColumn("_row", F.monotonically_increasing_id())
-        rows = row_reasons(sink_typed(batch, self.policy), THREE_TABLES, "sku", self.keep_missing_key)
         place = F.struct(*ORIGIN, "_row").alias("_place")
         # Copies of one message meet in the tasks first.
         one = good(rows).select("sku", "message_id", place)
         one = one.groupBy("sku", "message_id").agg(F.min("_place").alias("_place"))
         won = first_wins(one, ["sku"], ["_place"])
-        ledger = self.known(batch).select("sku", F.col("message_id").alias("_loaded"))
+        ledger = self.known(rows).select("sku", F.col("message_id").alias("_loaded"))
         won = won.join(ledger, "sku", "left").select(
             "sku",
             F.coalesce("_loaded", "message_id").alias("message_id"),
@@ -186,8 +189,7 @@ class TableSink:
         name = self.tables.batch_name(spark, batch_id) if self.tables.whole else None
         if name and self.tables.holds(spark, name):
             return
-        batch = batch.withColumn("_row", F.monotonically_increasing_id())
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        checked = self.checked(batch).persist(StorageLevel.MEMORY_AND_DISK)
         folder = scratch_dir(spark, "batch")
 
         def fixed(rows: DataFrame, part: str) -> DataFrame:
@@ -196,7 +198,7 @@ class TableSink:
             return spark.read.schema(rows.schema).parquet(f"{folder}/{part}")
 
         try:
-            rows = fixed(self.decide(batch), "rows")
+            rows = fixed(self.decide(checked), "rows")
             refused = fixed(self._refused(rows), "refused")
             replayed = not name and not rows.where("NOT new").isEmpty()
 
@@ -219,7 +221,7 @@ class TableSink:
             if self.compact_every and self.batches % self.compact_every == 0:
                 self.tables.compact(spark, LEDGER, *THREE_TABLES, REJECTED)
         finally:
-            batch.unpersist()
+            checked.unpersist()
             remove(spark, folder)
 
     def _write(self, rows: DataFrame, table: Table, name: str | None) -> None:

@@ -108,7 +108,7 @@ def test_small_batch_reads_its_buckets_of_the_ledger(spark, tmp_path, monkeypatc
     tables = _store(spark, tmp_path, "review_probe", buckets=8)
     sink = TableSink(tables)
     sink(parsed(_topic(spark, [(0, n, f"s{n}") for n in range(8)])), 0)
-    batch = parsed(_topic(spark, [(0, 8, "s3"), (0, 9, "s9")]))
+    batch = sink.checked(parsed(_topic(spark, [(0, 8, "s3"), (0, 9, "s9")])))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = sink.decide(batch)._jdf.queryExecution().executedPlan().toString()
@@ -122,7 +122,7 @@ def test_small_batch_reads_its_buckets_of_the_ledger(spark, tmp_path, monkeypatc
     monkeypatch.setattr(ingest, "PROBED", 1)
     assert sink.known(batch).count() == 8
     assert [r.sku for r in sink.decide(batch).where("new").collect()] == ["s9"]
-    nothing = parsed(_topic(spark, [(0, 8, "s3")]).where("false"))
+    nothing = sink.checked(parsed(_topic(spark, [(0, 8, "s3")]).where("false")))
     assert sink.decide(nothing).count() == 0
 
 
