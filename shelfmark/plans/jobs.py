@@ -13,6 +13,7 @@ from shelfmark.operators.integrity import kept_children, not_in, number_rows
 from shelfmark.operators.links import frontier, normal_url, tile_links
 from shelfmark.operators.messages import publish_frame
 from shelfmark.schema import (
+    BOOK,
     BOOKS_PENDING,
     BRIDGE,
     FIVE_TABLES,
@@ -26,7 +27,7 @@ from shelfmark.schema import (
 )
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land
-from shelfmark.sinks.tables import CatalogTables
+from shelfmark.sinks.tables import CatalogTables, DividedTables
 from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, parsed
 
 
@@ -124,6 +125,91 @@ def load_serial(records: DataFrame, order: list[str], tables: CatalogTables) ->
     _complete(spark, tables, SERIAL_PENDING, SERIAL_TABLES)
 
 
+def delete_rows(
+    tables: DividedTables, model: tuple[Table, ...], table: Table, keys: DataFrame
+) -> DataFrame:
+    """Delete rows by the first key column, as the foreign keys of the model say.
+
+    Children of a cascading key go with their parent, all the way down, and
+    before it. A child whose key does not cascade keeps its parents, up to the
+    row asked for. Returns the keys that are kept for that, written.
+    """
+    spark = keys.sparkSession
+    asked = keys.select(F.col(keys.columns[0]).alias(table.key[0])).distinct()
+    blocked = _written(_blocked(tables, model, table, asked), "blocked")
+    gone = _written(asked.join(blocked, table.key[0], "left_anti"), "gone")
+    if not gone.isEmpty():
+        _delete(spark, tables, model, table, table.key[0], gone)
+    return blocked
+
+
+def _children(model: tuple[Table, ...], table: Table) -> list[tuple[Table, str, str]]:
+    """Tables that refer to this one: child, its column, our column."""
+    return [(c, own, ours) for c in model for name, own, ours in c.parents if name == table.name]
+
+
+def _hit(
+    tables: DividedTables, table: Table, column: str, keys: DataFrame, wanted: str
+) -> DataFrame:
+    """Values of ``wanted`` in the rows whose ``column`` is among the keys, with that column."""
+    spark = keys.sparkSession
+    keys = keys.select(F.col(keys.columns[0]).alias(column))
+    rows = tables.of_buckets(spark, table, tables.buckets_of(keys, table, column))
+    return rows.join(keys, column, "left_semi").select(
+        F.col(column).alias("_key"), F.col(wanted).alias("_wanted")
+    )
+
+
+def _blocked(
+    tables: DividedTables, model: tuple[Table, ...], table: Table, keys: DataFrame, column: str = ""
+) -> DataFrame:
+    """Of the values of ``column``, those with a row below them that does not cascade."""
+    column = column or table.key[0]
+    found = keys.where("false").select(F.col(keys.columns[0]).alias(column))
+    for child, own, ours in _children(model, table):
+        pairs = _hit(tables, table, column, keys, ours)
+        held = pairs.select(F.col("_wanted").alias(own)).distinct()
+        if child.cascade:
+            stays = _blocked(tables, model, child, held, own)
+        else:
+            stays = _hit(tables, child, own, held, own).select(F.col("_key").alias(own))
+        stays = stays.select(F.col(own).alias("_wanted")).distinct()
+        found = found.union(pairs.join(stays, "_wanted", "left_semi").select("_key"))
+    return found.distinct()
+
+
+def _delete(
+    spark: SparkSession,
+    tables: DividedTables,
+    model: tuple[Table, ...],
+    table: Table,
+    column: str,
+    keys: DataFrame,
+) -> None:
+    """Children first, so that no child is ever without its parent."""
+    for child, own, ours in _children(model, table):
+        held = _hit(tables, table, column, keys, ours).select(F.col("_wanted").alias(own))
+        _delete(spark, tables, model, child, own, _written(held.distinct(), "held"))
+    tables.delete(keys, table, column)
+
+
+def delete_books(tables: DividedTables, keys: DataFrame) -> None:
+    """Books of the three-table model with all that belongs to them.
+
+    The ledger forgets them last: until then a run that stopped is completed by
+    the next one, and afterwards the sku may be loaded anew.
+    """
+    delete_rows(tables, THREE_TABLES, BOOK, keys)
+    tables.delete(keys, LEDGER)
+
+
+def _written(rows: DataFrame, name: str) -> DataFrame:
+    """What was decided, before the tables change."""
+    path = scratch_dir(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _complete(
     spark: SparkSession, tables: CatalogTables, pending: Table, model: tuple[Table, ...]
 ) -> None:

@@ -406,6 +406,15 @@ SQL: dict[str, str] = {
           FROM passed, range(2) t(run))""",
         "book_id", "serial_books", "serial_bridge",
     ),
+    "j_cascade_delete": f"""WITH loaded AS ({_load("", "seq")})
+        SELECT * FROM loaded WHERE tbl = 'rejected'
+          OR sku NOT IN (SELECT sku FROM loaded WHERE tbl = 'book' AND category = 'SMALL')""",
+    "j_delete_five": _star(
+        f"""{_PASSED}, stored AS (
+          SELECT * FROM passed QUALIFY row_number() OVER (PARTITION BY sku ORDER BY seq) = 1),
+        books AS (SELECT * FROM stored WHERE category <> 'SMALL')""",
+        "sku", "books", "book_author_bridge",
+    ),
     "j_load_flat": f"""{_WITH}, {_cte("typed", _V1)}, twice AS (
           SELECT 0 AS run, * FROM typed UNION ALL SELECT 1 AS run, * FROM typed)
         SELECT row_number() OVER (ORDER BY run, seq) AS id, {_FIELDS} FROM twice""",

@@ -22,15 +22,19 @@ from shelfmark.operators.coerce import coerce, parse_typed
 from shelfmark.operators.fields import extract_fields, match_pages
 from shelfmark.plans import inputs, jobs
 from shelfmark.schema import (
+    AUTHOR,
     BOOK,
     BOOK_AUTHOR,
+    BOOKS,
     BRIDGE,
+    CATEGORY,
     FIVE_TABLES,
     FLAT,
     RAW_FIELDS,
     RAW_SCHEMA,
     SERIAL_BRIDGE,
     SERIAL_TABLES,
+    SERIES,
     THREE_TABLES,
     WAREHOUSE_NAMES,
     Table,
@@ -38,7 +42,7 @@ from shelfmark.schema import (
 )
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land, read_csv, write_csv, write_json
-from shelfmark.sinks.tables import BatchTables, CatalogTables
+from shelfmark.sinks.tables import BatchTables, CatalogTables, DividedTables
 from shelfmark.sinks.topic import write_topic_files
 from shelfmark.sources.documents import read_documents
 from shelfmark.sources.pages import read_pages
@@ -659,6 +663,34 @@ def j_load_serial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(spark, store, SERIAL_TABLES)
 
 
+def j_cascade_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables after their books of one category were deleted."""
+    location = scratch_dir(spark, "tables")
+    tables = DividedTables(location, f"gone_{location[-8:]}_", buckets=8)
+    rows = inputs.messages(spark, sf_dir)
+    jobs.load_three(rows, tables)
+    small = tables.read(spark, BOOK).where("category = 'SMALL'").select("sku")
+    jobs.delete_books(tables, small)
+    return _three(spark, tables)
+
+
+def j_delete_five(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five tables, whose keys do not cascade, after books and then unused names were deleted.
+
+    Books with a bridge row are kept, so the first try deletes none.
+    """
+    location = scratch_dir(spark, "tables")
+    store = DividedTables(location, f"five_{location[-8:]}_", buckets=8)
+    jobs.load_five(inputs.records(spark, sf_dir), ["seq"], store)
+    small = store.read(spark, BOOKS).where("category = 'SMALL'").select("sku")
+    kept = jobs.delete_rows(store, FIVE_TABLES, BOOKS, small)
+    jobs.delete_rows(store, FIVE_TABLES, BRIDGE, kept)
+    jobs.delete_rows(store, FIVE_TABLES, BOOKS, kept)
+    for table in (SERIES, CATEGORY, AUTHOR):
+        jobs.delete_rows(store, FIVE_TABLES, table, store.read(spark, table).select("name"))
+    return _tagged(spark, store, FIVE_TABLES)
+
+
 def j_load_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat table after two loads: the second one goes on counting."""
     location = scratch_dir(spark, "tables")
@@ -760,6 +792,8 @@ QUERIES: dict[str, Query] = {
     "tables": tables,
     "j_load_five_restart": j_load_five_restart,
     "j_load_serial": j_load_serial,
+    "j_cascade_delete": j_cascade_delete,
+    "j_delete_five": j_delete_five,
     "j_load_flat": j_load_flat,
     "j_csv": j_csv,
     "j_json": j_json,

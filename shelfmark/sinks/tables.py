@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import lit
@@ -12,6 +12,9 @@ from shelfmark.schema import Table
 from shelfmark.session import make_folder, remove
 
 
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _one_of(column: str, keys: list[str]) -> str:
     """As text: a column object costs a call to the JVM for each key."""
     return f"{column} IN ({', '.join(map(lit, keys))})" if keys else "false"
@@ -102,6 +105,85 @@ class CatalogTables:
         remove(spark, old)
 
 
+class DividedTables(CatalogTables):
+    """Tables whose buckets are partitions as well, so that Spark replaces single buckets.
+
+    Rows are deleted by copy-on-write: only buckets with such a row are read and
+    written, by Spark's dynamic partition overwrite. A bucket is replaced whole; a
+    delete that stopped between two buckets is completed by running it again.
+    """
+
+    def _part(self, column: str) -> Column:
+        """The number of a row's bucket."""
+        return F.pmod(F.hash(column), F.lit(self.buckets))
+
+    def ddl(self, table: Table, name: str | None = None, folder: str | None = None) -> str:
+        plain = super().ddl(table, name, folder)
+        with_part = plain.replace(") USING parquet", ", part int) USING parquet", 1)
+        return with_part.replace("USING parquet", "USING parquet PARTITIONED BY (part)", 1)
+
+    def create(self, spark: SparkSession, tables: tuple[Table, ...]) -> None:
+        for table in tables:
+            if not spark.catalog.tableExists(self.name(table)):
+                spark.sql(self.ddl(table))
+                make_folder(spark, f"{self.location}/{table.name}")
+                # Buckets that an earlier catalogue knew.
+                spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+
+    def read(self, spark: SparkSession, table: Table) -> DataFrame:
+        return super().read(spark, table).select(*table.column_names)
+
+    def _by_bucket(self, rows: DataFrame, table: Table) -> DataFrame:
+        return super()._by_bucket(rows, table).withColumn("part", self._part(table.key[0]))
+
+    def of_buckets(self, spark: SparkSession, table: Table, parts: list[int]) -> DataFrame:
+        """The rows of these buckets; no other file is opened."""
+        rows = super().read(spark, table)
+        return rows.where(f"part IN ({', '.join(map(str, parts))})" if parts else "false")
+
+    def buckets_of(self, keys: DataFrame, table: Table, column: str) -> list[int]:
+        """The buckets that can hold rows with these values: at most ``buckets`` numbers.
+
+        By the bucket column they follow from the values; by another one the
+        table's two columns are read.
+        """
+        first = table.key[0]
+        if column != first:
+            stored = self.read(keys.sparkSession, table).select(first, column)
+            keys = stored.join(keys, column, "left_semi")
+        found = keys.where(F.col(first).isNotNull()).select(self._part(first).alias("part"))
+        return sorted(r.part for r in found.distinct().collect())
+
+    def delete(self, keys: DataFrame, table: Table, column: str | None = None) -> None:
+        """Delete the rows whose ``column`` (or first key column) is among the keys."""
+        spark, column = keys.sparkSession, column or table.key[0]
+        keys = keys.select(F.col(keys.columns[0]).alias(column)).distinct()
+        touched = self.buckets_of(keys, table, column)
+        if touched:
+            kept = self.of_buckets(spark, table, touched).join(keys, column, "left_anti")
+            self._overwrite(kept, table, touched)
+
+    def _overwrite(self, rows: DataFrame, table: Table, parts: list[int]) -> None:
+        """These buckets anew, some of them without a row left."""
+        spark, name = rows.sparkSession, self.name(table)
+        left = {r.part for r in rows.select("part").distinct().collect()}
+        before = spark.conf.get(_OVERWRITE, None)
+        spark.conf.set(_OVERWRITE, "dynamic")
+        try:
+            made = rows.select(*table.column_names, "part").repartition(len(parts), "part")
+            made.write.insertInto(name, overwrite=True)
+        finally:
+            spark.conf.unset(_OVERWRITE) if before is None else spark.conf.set(_OVERWRITE, before)
+        # Dynamic overwrite leaves alone what it writes no row to.
+        for part in set(parts) - left:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (part = {part})")
+            remove(spark, f"{self.location}/{table.name}/part={part}")
+
+    def _compact(self, spark: SparkSession, table: Table) -> None:
+        parts = list(range(self.buckets))
+        self._overwrite(self.of_buckets(spark, table, parts), table, parts)
+
+
 class BatchTables(CatalogTables):
     """Tables of which readers see whole batches only, over all tables at once.
 
