@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.operators import outbox, star
+from shelfmark.operators.delivered import DeliveredMarks
 from shelfmark.operators.fields import SiteProfile, extract_fields
 from shelfmark.operators.integrity import kept_children, not_in, number_rows
 from shelfmark.operators.links import frontier, normal_url, tile_links
@@ -63,11 +64,37 @@ def relay(
     exactly what was sent. A failure between the two sends the batch again: at
     least once.
     """
-    spark = documents.sparkSession
     if bounded:
         unsent = outbox.bounded_run(documents, delivered).drop("round")
     else:
         unsent = outbox.pending(documents, delivered)
+    _send(unsent, send, mark)
+
+
+def relay_marked(
+    documents: DataFrame,
+    marks: DeliveredMarks,
+    send: Callable[[DataFrame], None],
+    bounded: bool = True,
+) -> None:
+    """As ``relay``, with one bit for a delivered document instead of a row."""
+    if bounded:
+        flags = marks.undelivered(documents.select("doc_id", "sent"))
+        ids = outbox.rounds(outbox.pending(flags)).select("doc_id")
+        unsent = documents.join(ids, "doc_id", "left_semi")
+    else:
+        unsent = marks.undelivered(outbox.pending(documents))
+    _send(unsent, send, marks.mark)
+    marks.compact(documents.sparkSession)
+
+
+def _send(
+    unsent: DataFrame,
+    send: Callable[[DataFrame], None],
+    mark: Callable[[DataFrame], None],
+) -> None:
+    """Out first, then marked, from one written batch."""
+    spark = unsent.sparkSession
     path = scratch_dir(spark, "relay")
     unsent.write.parquet(path)
     batch = spark.read.schema(unsent.schema).parquet(path)

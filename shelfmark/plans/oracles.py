@@ -389,6 +389,7 @@ SQL: dict[str, str] = {
         SELECT seq AS doc_id, sku, CASE WHEN seq IN (SELECT seq FROM now) THEN true ELSE sent END
           AS sent FROM rec""",
     "j_relay": f"""{_WITH} SELECT seq AS "offset", sku, title FROM ({_PENDING})""",
+    "j_relay_bitmap": f"""{_WITH} SELECT seq AS "offset", sku, title FROM ({_PENDING})""",
     "s_ingest": _load("", "seq % 2, seq"),
     "s_ingest_restart": _load("", "seq % 3, seq"),
     "s_ingest_torn": _load("", "seq % 2, seq"),

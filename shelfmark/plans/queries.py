@@ -19,6 +19,7 @@ from shelfmark.functions.html import Page
 from shelfmark.functions.text import lit, or_missing, strip
 from shelfmark.operators import clean, integrity, links, messages, outbox, project, star
 from shelfmark.operators.coerce import coerce, parse_typed
+from shelfmark.operators.delivered import DeliveredMarks
 from shelfmark.operators.fields import extract_fields, match_pages
 from shelfmark.plans import inputs, jobs
 from shelfmark.schema import (
@@ -470,6 +471,19 @@ def j_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrived.join(delivered, "offset").select("offset", "sku", "title")
 
 
+def j_relay_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four bounded runs, then one without a limit, with bitmaps as marks: what reached the topic."""
+    topic, marks = scratch_dir(spark, "topic"), DeliveredMarks(scratch_dir(spark, "marks"))
+    documents = inputs.documents(spark, sf_dir)
+    send = lambda rows: write_topic_files(rows, topic, F.col("doc_id"))
+    for bounded in (True, True, True, True, False):
+        jobs.relay_marked(documents, marks, send, bounded)
+    arrived = messages.parse_messages(read_topic_files(spark, topic))
+    left = marks.undelivered(arrived, "offset").select("offset").withColumn("_left", F.lit(1))
+    marked = arrived.join(left, "offset", "left").where("_left IS NULL")
+    return marked.select("offset", "sku", "title")
+
+
 def _three(spark: SparkSession, tables: CatalogTables) -> DataFrame:
     """The three tables and the rejects as one tagged frame."""
     book, author, detail = (tables.read(spark, t) for t in THREE_TABLES)
@@ -783,6 +797,7 @@ QUERIES: dict[str, Query] = {
     "q_outbox_batches": q_outbox_batches,
     "q_outbox_mark": q_outbox_mark,
     "j_relay": j_relay,
+    "j_relay_bitmap": j_relay_bitmap,
     "s_ingest": s_ingest,
     "s_ingest_restart": s_ingest_restart,
     "s_ingest_torn": s_ingest_torn,
