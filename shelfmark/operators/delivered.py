@@ -15,7 +15,7 @@ from shelfmark.session import make_folder, remove
 
 # Fixed value: bits of a bitmap of Spark's bitmap functions.
 BITS = 32_768
-#: Gaps with more bytes than this are met by a shuffle of ids instead of a broadcast.
+#: Bitmaps of more bytes than this are met by a shuffle of ids instead of a broadcast.
 BROADCAST_BYTES = 64 << 20
 
 _SCHEMA = "bucket long, bits binary"
@@ -42,27 +42,32 @@ def _has(bits: str, column: str) -> str:
     return f"getbit({byte}, cast({at} % 8 AS int)) = 1"
 
 
-def undelivered(documents: DataFrame, marks: DataFrame, column: str = "doc_id") -> DataFrame:
-    """Documents whose id is not marked; those without an id are not.
+def with_mark(rows: DataFrame, marks: DataFrame, column: str, name: str) -> DataFrame:
+    """Rows with a flag: is their id marked? One without an id is not.
 
-    Documents stay where they are while the bitmaps are few enough to be
-    broadcast, which is counted. Beyond that only ids meet the bitmaps, and
-    documents the ids that are left.
+    Rows stay where they are while the bitmaps are few enough to be broadcast,
+    which is counted. Beyond that only ids meet the bitmaps, and rows the ids
+    that are marked.
     """
     known = merged(marks).select("bucket", "bits", F.bitmap_count("bits").alias("_set"))
     # A bitmap without a gap needs no bits.
     known = known.select("bucket", F.when(F.col("_set") < BITS, F.col("bits")).alias("bits"))
     size = known.select(F.sum(16 + F.coalesce(F.octet_length("bits"), F.lit(0)))).first()[0] or 0
     known = known.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
-    bucket = F.bitmap_bucket_number(column)
-    missing = F.expr(f"_bucket IS NULL OR (_bits IS NOT NULL AND NOT {_has('_bits', column)})")
+    bucket = F.bitmap_bucket_number(column) == F.col("_bucket")
+    marked = F.expr(f"_bucket IS NOT NULL AND (_bits IS NULL OR {_has('_bits', column)})")
     if size <= BROADCAST_BYTES:
-        joined = documents.join(F.broadcast(known), bucket == F.col("_bucket"), "left")
-        return joined.where(missing).select(*documents.columns)
-    ids = documents.select(column).distinct()
-    left = ids.join(known, bucket == F.col("_bucket"), "left").where(missing).select(column)
-    whole = documents.join(left, column, "left_semi")
-    return whole.union(documents.where(F.col(column).isNull()))
+        return rows.join(F.broadcast(known), bucket, "left").select(*rows.columns, marked.alias(name))
+    ids = rows.where(F.col(column).isNotNull()).select(column).distinct()
+    hit = ids.join(known, bucket).where(marked).select(column, F.lit(True).alias(name))
+    flag = F.coalesce(name, F.lit(False)).alias(name)
+    return rows.join(hit, column, "left").select(*rows.columns, flag)
+
+
+def undelivered(documents: DataFrame, marks: DataFrame, column: str = "doc_id") -> DataFrame:
+    """Documents whose id is not marked."""
+    flagged = with_mark(documents, marks, column, "_marked")
+    return flagged.where("NOT _marked").select(*documents.columns)
 
 
 class DeliveredMarks:
@@ -78,6 +83,9 @@ class DeliveredMarks:
     def mark(self, ids: DataFrame, column: str = "doc_id") -> None:
         bitmaps(ids, column).write.mode("append").parquet(self.folder)
 
+    def with_mark(self, rows: DataFrame, column: str, name: str) -> DataFrame:
+        return with_mark(rows, self.read(rows.sparkSession), column, name)
+
     def undelivered(self, documents: DataFrame, column: str = "doc_id") -> DataFrame:
         return undelivered(documents, self.read(documents.sparkSession), column)
 

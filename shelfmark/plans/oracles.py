@@ -265,6 +265,12 @@ SQL: dict[str, str] = {
           CAST(i AS VARCHAR)) FROM range(1, 52) t(i)""",
     "q_frontier_unvisited": f"""{_LINKS} SELECT DISTINCT {_NORMAL} AS url FROM links
         WHERE {_NORMAL} NOT IN (SELECT concat({_BASE}, '/the') FROM pages)""",
+    "q_frontier_history": f"""{_LINKS}, crawled AS (
+          SELECT {_NORMAL} AS url FROM pages WHERE page_id % 3 < 2
+          UNION SELECT {_NORMAL} FROM (SELECT concat({_BASE}, '/the') AS url FROM pages)),
+        seen AS (SELECT url FROM links UNION ALL SELECT url FROM pages)
+        SELECT DISTINCT {_NORMAL} AS url FROM seen
+        WHERE {_NORMAL} NOT IN (SELECT url FROM crawled)""",
     "q_links": f"{_LINKS} SELECT page_id, pos, url FROM links",
     "q_tile_links": """SELECT CAST(p_partkey // 24 AS BIGINT) AS page_id,
         CAST(row_number() OVER (PARTITION BY p_partkey // 24 ORDER BY p_partkey) - 1 AS INTEGER)

@@ -21,6 +21,7 @@ from shelfmark.operators import clean, integrity, links, messages, outbox, proje
 from shelfmark.operators.coerce import coerce, parse_typed
 from shelfmark.operators.delivered import DeliveredMarks
 from shelfmark.operators.fields import extract_fields, match_pages
+from shelfmark.operators.history import VisitedHistory
 from shelfmark.plans import inputs, jobs
 from shelfmark.schema import (
     AUTHOR,
@@ -93,6 +94,18 @@ def q_frontier_unvisited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.frontier(found, visited)
 
 
+def q_frontier_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frontier after three crawls, by the filter of the history; some hits are chance."""
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet")
+    base = F.regexp_extract("url", "^(https?://[^/]+)", 1)
+    history = VisitedHistory(scratch_dir(spark, "history"), parts=8, slots=1 << 10, spread=2)
+    for crawl in range(2):
+        history.add(pages.where(F.col("page_id") % 3 == crawl).select("url"))
+    history.add(pages.select(F.concat(base, F.lit("/the")).alias("url")))
+    found = links.pattern_links(pages, base, LINK).select("url").union(pages.select("url"))
+    return history.frontier(found)
+
+
 def q_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_pages(spark, f"{sf_dir}/pages.parquet")
     base = F.regexp_extract("url", "^(https?://[^/]+)", 1)
@@ -746,6 +759,7 @@ QUERIES: dict[str, Query] = {
     "q_docs_scan": q_docs_scan,
     "q_frontier": q_frontier,
     "q_frontier_unvisited": q_frontier_unvisited,
+    "q_frontier_history": q_frontier_history,
     "q_links": q_links,
     "q_tile_links": q_tile_links,
     "q_domain_filter": q_domain_filter,
