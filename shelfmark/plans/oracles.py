@@ -260,6 +260,10 @@ def _star(books: str, key: str, fact: str, link: str) -> str:
 
 SQL: dict[str, str] = {
     "q_docs_scan": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+    "q_docs_inferred": """SELECT doc_id, text, CASE WHEN doc_id % 7 <> 0 THEN lang END AS lang,
+        CASE WHEN doc_id % 3 = 0 THEN true END AS flag,
+        concat(CASE WHEN doc_id % 5 = 0 THEN 'n' ELSE '' END, CAST(n_chars AS VARCHAR)) AS n_chars
+        FROM documents""",
     "q_frontier": f"""SELECT DISTINCT {_NORMAL} AS url FROM pages UNION
         SELECT concat('https://shop.example.com/books/list?order=popular&p=',
           CAST(i AS VARCHAR)) FROM range(1, 52) t(i)""",

@@ -46,7 +46,7 @@ from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land, read_csv, write_csv, write_json
 from shelfmark.sinks.tables import BatchTables, CatalogTables, DividedTables
 from shelfmark.sinks.topic import write_topic_files
-from shelfmark.sources.documents import read_documents
+from shelfmark.sources.documents import read_documents, read_inferred
 from shelfmark.sources.pages import read_pages
 from shelfmark.sources.topic import peek, read_topic_files, stream_topic_files
 from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, drain, parsed, typed
@@ -81,6 +81,19 @@ def q_docs_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, f"{sf_dir}/documents.parquet", schema=DOCUMENTS)
 
 
+def q_docs_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored JSON documents whose fields are absent, a number or a text; the schema is inferred."""
+    path = scratch_dir(spark, "drift")
+    rows = inputs.table(spark, sf_dir, "documents")
+    fields = """doc_id, text, if(doc_id % 7 = 0, NULL, lang) AS lang,
+        if(doc_id % 3 = 0, true, NULL) AS flag"""
+    written = f"""if(doc_id % 5 = 0,
+        to_json(struct({fields}, concat('n', n_chars) AS n_chars)),
+        to_json(struct({fields}, n_chars))) AS value"""
+    rows.selectExpr(written).write.text(path)
+    return read_inferred(spark, path)
+
+
 def q_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_pages(spark, f"{sf_dir}/pages.parquet").select("url")
     return links.frontier(pages.unionByName(links.listing_urls(spark, LISTING)))
@@ -757,6 +770,7 @@ def j_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "q_docs_scan": q_docs_scan,
+    "q_docs_inferred": q_docs_inferred,
     "q_frontier": q_frontier,
     "q_frontier_unvisited": q_frontier_unvisited,
     "q_frontier_history": q_frontier_history,

@@ -32,7 +32,14 @@ class CatalogTables:
     #: Whether readers see whole batches only.
     whole = False
 
-    def __init__(self, location: str, prefix: str = "", buckets: int = 16):
+    def __init__(
+        self, location: str, prefix: str = "", buckets: int = 16, constraints: bool = False
+    ):
+        """With ``constraints`` the catalogue holds text limits and refuses null keys.
+
+        A write past them fails as a whole, whatever was checked before it.
+        """
+        self.constraints = constraints
         self.location = location
         self.prefix = prefix
         self.buckets = buckets
@@ -41,7 +48,7 @@ class CatalogTables:
         return f"{self.prefix}{table.name}"
 
     def ddl(self, table: Table, name: str | None = None, folder: str | None = None) -> str:
-        columns = ", ".join(f"{c} {t}" for c, t in table.columns.items())
+        columns = ", ".join(self._column(table, c, t) for c, t in table.columns.items())
         layout = ""
         if table.key:
             layout = f" CLUSTERED BY ({table.key[0]}) INTO {self.buckets} BUCKETS"
@@ -50,6 +57,20 @@ class CatalogTables:
             f"{layout} LOCATION '{folder or f'{self.location}/{table.name}'}'"
         )
 
+    def _column(self, table: Table, name: str, kind: str) -> str:
+        if not self.constraints:
+            return f"{name} {kind}"
+        limits = dict(table.limits)
+        kind = f"VARCHAR({limits[name]})" if name in limits else kind
+        return f"{name} {kind} NOT NULL" if name in table.key else f"{name} {kind}"
+
+    def _no_null(self, rows: DataFrame, table: Table) -> DataFrame:
+        """Spark holds text limits on write; file tables leave NOT NULL to the writer."""
+        refused = "coalesce({0}, CAST(raise_error('null in {1}.{0}') AS {2})) AS {0}"
+        return rows.selectExpr(
+            *[refused.format(c, table.name, t) if c in table.key else c for c, t in table.columns.items()]
+        )
+
     def create(self, spark: SparkSession, tables: tuple[Table, ...]) -> None:
         """Make the tables that do not exist, parents before children."""
         for table in tables:
@@ -64,7 +85,7 @@ class CatalogTables:
 
     def _by_bucket(self, rows: DataFrame, table: Table) -> DataFrame:
         """One file per bucket, because tasks hold whole buckets."""
-        rows = rows.select(*table.column_names)
+        rows = self._no_null(rows, table) if self.constraints else rows.select(*table.column_names)
         return rows.repartition(self.buckets, table.key[0]) if table.key else rows
 
     def append(self, rows: DataFrame, table: Table) -> None:
