@@ -29,6 +29,7 @@ from shelfmark.schema import (
 from shelfmark.session import scratch_dir
 from shelfmark.sinks.files import land
 from shelfmark.sinks.tables import CatalogTables, DividedTables
+from shelfmark.sources.documents import or_none
 from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, parsed
 
 
@@ -113,8 +114,11 @@ def load_three(messages: DataFrame, tables: CatalogTables, policy: str = "v1") -
 def load_flat(records: DataFrame, order: list[str], tables: CatalogTables) -> None:
     """Typed records to the flat table; ids go on after the last one.
 
-    There is no other key, so a second run appends the records again.
+    There is no other key, so a second run appends the records again. Without a
+    record nothing is made or written (S5).
     """
+    if or_none(records) is None:
+        return
     spark = records.sparkSession
     tables.create(spark, (FLAT,))
     last = tables.read(spark, FLAT).agg(F.max("id")).first()[0] or 0

@@ -436,6 +436,8 @@ SQL: dict[str, str] = {
     "j_landing": f"""{_WITH} SELECT {_FIELDS}, NULL::BOOLEAN AS sent FROM rec
         WHERE unread = ''""",
     "j_two_crawls_relay": f"""{_WITH} SELECT sku, title FROM rec, range(2) WHERE unread = ''""",
+    "j_parallel_crawls": f"""{_WITH} SELECT sku, title, CAST(1 AS BIGINT) AS copies FROM rec
+        WHERE unread = ''""",
     "j_crawl": f"""{_WITH} SELECT title, authors, units_sold, sale_price, list_price, sku, isbn,
         audience, length_cm, width_cm, page_count,
         CASE WHEN seq % 3 = 0 THEN binding ELSE trim(binding) END AS binding,

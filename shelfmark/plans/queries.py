@@ -8,6 +8,7 @@ SQL each is checked against.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.errors import StreamingQueryException
@@ -665,6 +666,22 @@ def j_two_crawls_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrived.select("sku", "title")
 
 
+def j_parallel_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three crawls land in one store at the same time: how many documents share an id."""
+    folder = scratch_dir(spark, "crawls")
+    rows = inputs.records(spark, sf_dir)
+
+    def land_part(part: int) -> None:
+        found = rows.where(F.col("seq") % 3 == part)
+        land(found, f"{folder}/{part}", store=f"{folder}/documents")
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(land_part, range(3)))
+    stored = read_documents(spark, f"{folder}/documents")
+    same = stored.groupBy("doc_id").agg(F.count("*").alias("copies"))
+    return stored.join(same, "doc_id").select("sku", "title", "copies")
+
+
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five tables made, loaded twice and read back as one tagged frame."""
     location = scratch_dir(spark, "tables")
@@ -843,4 +860,5 @@ QUERIES: dict[str, Query] = {
     "j_landing": j_landing,
     "j_crawl": j_crawl,
     "j_two_crawls_relay": j_two_crawls_relay,
+    "j_parallel_crawls": j_parallel_crawls,
 }

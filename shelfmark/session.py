@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale. Joins and aggregations start from many shuffle
@@ -76,6 +77,31 @@ def make_folder(spark: SparkSession, folder: str) -> None:
     files.mkdirs(path)
 
 
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none where it does not exist."""
+    files, path = _file_system(spark, folder)
+    return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+
+def create_new(spark: SparkSession, file: str) -> bool:
+    """Make an empty file that is not there yet; false if another was first.
+
+    One step of the file system (HDFS and local disks); a store without an exclusive
+    create cannot decide between two callers.
+    """
+    files, path = _file_system(spark, file)
+    files.mkdirs(path.getParent())
+    if files.getUri().getScheme() == "file":
+        return spark.sparkContext._jvm.java.io.File(path.toUri().getPath()).createNewFile()
+    try:
+        files.create(path, False).close()
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    return True
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder that one of our jobs wrote, wherever it is."""
     files, path = _file_system(spark, folder)

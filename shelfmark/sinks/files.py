@@ -10,6 +10,7 @@ from pyspark.storagelevel import StorageLevel
 from shelfmark.functions.text import reasons, strip
 from shelfmark.operators.integrity import good, quarantined
 from shelfmark.schema import CSV_COLUMNS, RAW_FIELDS
+from shelfmark.session import create_new, names_in
 
 _BOM = "\ufeff"
 
@@ -70,15 +71,42 @@ def last_document(spark: SparkSession, path: str) -> int:
     return -1 if found is None else found
 
 
-def land(records: DataFrame, folder: str, after: int | None = None, bom: bool = False) -> None:
+#: Ids of one block: 2 to the power 33 for each of 131,072 tasks.
+BLOCK = 1 << 50
+
+
+def claim_block(spark: SparkSession, store: str) -> int:
+    """Number of a block of document ids that no other crawl has, also one at the same time.
+
+    A block is claimed by making its file, which only one caller can. The first
+    one begins behind the greatest id of a store that has no such files yet.
+    """
+    folder = f"{store}/_ids"
+    taken = [int(n) for n in names_in(spark, folder) if n.isdigit()]
+    number = max(taken) + 1 if taken else last_document(spark, store) // BLOCK + 1
+    while not create_new(spark, f"{folder}/{number}"):
+        number += 1
+    return number
+
+
+def land(
+    records: DataFrame,
+    folder: str,
+    after: int | None = None,
+    bom: bool = False,
+    store: str | None = None,
+) -> None:
     """All sinks from one persisted frame, after one check (O-CHAIN).
 
-    Ids go on after ``after``, or after the last one stored: a second crawl into
-    the folder gets ids of its own. Rejected records are added to earlier ones.
+    Ids go on after ``after``; without it each crawl claims a block of ids, and
+    writes to a part of its own, so that crawls may run at once into one
+    ``store`` (by default ``documents`` in the folder; CSV and JSON are of the
+    folder's last crawl). Rejected records are added to earlier ones.
 
     A record with an absent field fails the first sink and therefore reaches
     none; such records go to ``rejected`` with the reason.
     """
+    spark = records.sparkSession
     rules = [(f"absent_{f}", f"{f} IS NULL") for f in RAW_FIELDS]
     checked = records.selectExpr(*RAW_FIELDS, f"{reasons(rules)} AS reasons")
     checked.persist(StorageLevel.MEMORY_AND_DISK)
@@ -86,9 +114,14 @@ def land(records: DataFrame, folder: str, after: int | None = None, bom: bool =
         passed = good(checked)
         write_csv(passed, f"{folder}/csv", bom)
         write_json(passed, f"{folder}/json")
-        documents = f"{folder}/documents"
-        last = last_document(records.sparkSession, documents) if after is None else after
-        append_documents(passed, documents, last)
+        store = store or f"{folder}/documents"
+        if after is None:
+            block = claim_block(spark, store)
+            # More tasks than a block has ids for are merged; a lesser number stays as it is.
+            placed = passed.coalesce(BLOCK >> 33)
+            append_documents(placed, f"{store}/crawl={block}", block * BLOCK - 1)
+        else:
+            append_documents(passed, f"{store}/crawl=after-{after}", after)
         quarantined(checked).write.mode("append").json(f"{folder}/rejected")
     finally:
         checked.unpersist()
