@@ -63,6 +63,14 @@ class Page:
 
     def _scan(self, html: str) -> None:
         is_open = [0]
+        opened: dict[str, int] = {}  # open elements of each name
+
+        def close_last() -> None:
+            i = is_open.pop()
+            if i:
+                opened[self.tags[i]] -= 1
+            self._close(i)
+
         for token in _TOKEN.finditer(html):
             kind = token.lastgroup
             if kind == "text":
@@ -70,16 +78,19 @@ class Page:
             elif kind == "attrs":
                 tag = token["open"].lower()
                 if tag in _SELF_CLOSING and self.tags[is_open[-1]] == tag:
-                    self._close(is_open.pop())
+                    close_last()
                 is_open.append(self._add(tag, token["attrs"], is_open[-1]))
+                opened[tag] = opened.get(tag, 0) + 1
                 if tag in _VOID:
-                    self._close(is_open.pop())
+                    close_last()
             elif kind == "close":
                 tag = token["close"].lower()
-                for depth in range(len(is_open) - 1, 0, -1):
-                    if self.tags[is_open[depth]] == tag:
-                        while len(is_open) > depth:
-                            self._close(is_open.pop())
+                # An end tag without its element costs nothing, and a look at an open
+                # element is paid for by closing it.
+                while opened.get(tag):
+                    found = self.tags[is_open[-1]] == tag
+                    close_last()
+                    if found:
                         break
             elif kind == "body":
                 i = self._add(token["raw"].lower(), token["raw_attrs"], is_open[-1])
@@ -87,7 +98,7 @@ class Page:
                     self._text(token["body"], i)
                 self._close(i)
         while is_open:
-            self._close(is_open.pop())
+            close_last()
 
     def _add(self, tag: str, attributes: str, parent: int) -> int:
         i = len(self.tags)

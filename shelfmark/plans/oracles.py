@@ -326,6 +326,9 @@ SQL: dict[str, str] = {
         CASE WHEN {_BROKEN} = '' THEN title END AS title, {_BROKEN} AS reasons FROM rec""",
     "q_topic_peek": f"""{_WITH} SELECT 0 AS "partition", seq AS "offset", sku, title
         FROM rec ORDER BY seq LIMIT 100""",
+    "q_topic_range": f"""{_WITH} SELECT CAST(seq // 4 // most AS INTEGER) AS run,
+          CAST(seq % 4 AS INTEGER) AS partition, seq // 4 AS "offset", sku
+        FROM rec, (SELECT greatest(1, count(*) // 10) AS most FROM rec)""",
     "q_coerce_v1": _coerced(_V1),
     "q_coerce_v2": f"""{_WITH}, {_cte("v1", _V1)}
         SELECT 'text' AS sent_as, seq, NULL::INTEGER AS units_sold, NULL::DOUBLE AS sale_price,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -49,6 +49,7 @@ from shelfmark.sinks.tables import BatchTables, CatalogTables, DividedTables
 from shelfmark.sinks.topic import write_topic_files
 from shelfmark.sources.documents import read_documents, read_inferred
 from shelfmark.sources.pages import read_pages
+from shelfmark.sources.segments import SegmentedTopic, TopicCursor
 from shelfmark.sources.topic import peek, read_topic_files, stream_topic_files
 from shelfmark.streaming.ingest import LEDGER, REJECTED, TableSink, drain, parsed, typed
 
@@ -682,6 +683,23 @@ def j_parallel_crawls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.join(same, "doc_id").select("sku", "title", "copies")
 
 
+def q_topic_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic of four partitions in bounded reads, each from where the last one ended."""
+    rows = inputs.messages(spark, sf_dir)
+    most = max(1, rows.count() // 10)
+    topic = SegmentedTopic(scratch_dir(spark, "topic"), size=max(1, most // 3))
+    cursor = TopicCursor(scratch_dir(spark, "cursor"))
+    place = (F.col("offset") % 4, F.expr("offset div 4"), F.timestamp_millis("offset"))
+    topic.write(rows, *place)
+    found, run = [], 0
+    while ranges := cursor.next_ranges(spark, topic, most):
+        part = messages.parse_messages(topic.read(spark, ranges))
+        found.append(part.select(F.lit(run).alias("run"), "partition", "offset", "sku"))
+        cursor.commit(spark, ranges)
+        run += 1
+    return reduce(DataFrame.union, found)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five tables made, loaded twice and read back as one tagged frame."""
     location = scratch_dir(spark, "tables")
@@ -811,6 +829,7 @@ QUERIES: dict[str, Query] = {
     "q_parse_all_string": q_parse_all_string,
     "q_parse_quarantine": q_parse_quarantine,
     "q_topic_peek": q_topic_peek,
+    "q_topic_range": q_topic_range,
     "q_coerce_v1": partial(_coerced, policy="v1"),
     "q_coerce_v2": q_coerce_v2,
     "q_coerce_v3": partial(_coerced, policy="v3"),

@@ -189,6 +189,16 @@ def test_many_tiles_are_not_quadratic():
     assert len(found) == 4000 and time.perf_counter() - began < 0.05
 
 
+def test_end_tags_without_an_element_are_not_quadratic():
+    html = "<b>" * 20_000 + "</i>" * 20_000 + "<p class='x'>t</p>"
+    began = time.perf_counter()
+    page = Page(html)
+    assert time.perf_counter() - began < 0.4
+    assert len(page.tagged("b")) == 20_000 and page.classed("x")
+    nested = Page("<div><b><i>x</b>y</i></div><p>z</p>")
+    assert [nested.tags[nested.parents[i]] for i in nested.tagged("p")] == ["#root"]
+
+
 def test_hosts_of_crawled_addresses(spark):
     cases = {
         "http://example.net/a b": "example.net",
