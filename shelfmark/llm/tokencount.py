@@ -9,7 +9,8 @@ and keeps the last separator's place, which is where an open document began.
 The scan is associative, so it runs in two levels, over blocks in groups of
 ``GROUP`` and over groups: no task holds a whole file.
 
-Cases: an empty document has 0 tokens; tokens behind the last separator are a
+Cases: an empty document has 0 tokens; texts are whole, however long a run of
+blanks or letters in them; tokens behind the last separator are a
 document that was not closed; a null text is an empty document; repeated rows
 are documents of their own; a null ``doc_id`` is kept; empty tables give no
 row; other columns are not read.
@@ -17,6 +18,7 @@ row; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +55,27 @@ def _encoding(data: bytes):
     return _ENCODING[data]
 
 
+#: What the library's pattern takes for white space.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Longer runs of white space exhaust the stack of the library's pattern.
+_LONG_RUN = re.compile(f"[{_SPACE}]{{10000,}}")
+
+
+def ids_of(encoding, text: str) -> list[int]:
+    """The library's ids, also of texts with very long runs of white space.
+
+    Such a run is one piece of the pattern, but for its last character, which
+    goes with what follows.
+    """
+    ids, at = [], 0
+    for run in _LONG_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoding.encode_ordinary(text[at : run.start()])
+        ids += encoding._encode_single_piece(text[run.start() : end].encode())
+        at = end
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def flat_files(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Encode documents into flat token files, one per task, as a written table.
 
@@ -91,7 +114,7 @@ def flat_files(docs: DataFrame, path: str | None = None) -> DataFrame:
                 found.append((file, None, None, first + low, ids[low : low + _LISTED]))
             first += len(ids)
             for text in batch.column(1):
-                tokens = encoding.encode_ordinary(text.as_py() or "")
+                tokens = ids_of(encoding, text.as_py() or "")
                 tokens.append(END)
                 held.append(np.array(tokens, dtype=WIDTH))
                 size += len(tokens)
