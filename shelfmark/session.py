@@ -102,6 +102,13 @@ def create_new(spark: SparkSession, file: str) -> bool:
     return True
 
 
+def move(spark: SparkSession, file: str, target: str) -> None:
+    """Rename a file within one file system."""
+    files, path = _file_system(spark, file)
+    if not files.rename(path, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{file} could not be moved to {target}")
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder that one of our jobs wrote, wherever it is."""
     files, path = _file_system(spark, folder)

@@ -10,7 +10,7 @@ from pyspark.storagelevel import StorageLevel
 from shelfmark.functions.text import reasons, strip
 from shelfmark.operators.integrity import good, quarantined
 from shelfmark.schema import CSV_COLUMNS, RAW_FIELDS
-from shelfmark.session import create_new, names_in
+from shelfmark.session import create_new, move, names_in, remove
 
 _BOM = "\ufeff"
 
@@ -99,7 +99,7 @@ def land(
     """All sinks from one persisted frame, after one check (O-CHAIN).
 
     Ids go on after ``after``; without it each crawl claims a block of ids, and
-    writes to a part of its own, so that crawls may run at once into one
+    brings its files in by itself, so that crawls may run at once into one
     ``store`` (by default ``documents`` in the folder; CSV and JSON are of the
     folder's last crawl). Rejected records are added to earlier ones.
 
@@ -118,10 +118,16 @@ def land(
         if after is None:
             block = claim_block(spark, store)
             # More tasks than a block has ids for are merged; a lesser number stays as it is.
-            placed = passed.coalesce(BLOCK >> 33)
-            append_documents(placed, f"{store}/crawl={block}", block * BLOCK - 1)
+            placed, side = passed.coalesce(BLOCK >> 33), f"{store}/_crawl-{block}"
+            append_documents(placed, side, block * BLOCK - 1)
+            # Two jobs cannot append to one folder at once: each writes beside it, out of sight
+            # of readers, and moves its files, whose names are its own.
+            for name in names_in(spark, side):
+                if name.startswith("part-"):
+                    move(spark, f"{side}/{name}", f"{store}/{name}")
+            remove(spark, side)
         else:
-            append_documents(passed, f"{store}/crawl=after-{after}", after)
+            append_documents(passed, store, after)
         quarantined(checked).write.mode("append").json(f"{folder}/rejected")
     finally:
         checked.unpersist()

@@ -27,9 +27,6 @@ def read_documents(
     if schema is not None:
         reader = reader.schema(schema)
     documents = reader.load(path) if path else reader.load()
-    if schema is not None:
-        # Without the number of the crawl that a landing store is divided by.
-        documents = documents.select(*[f"`{c}`" for c in schema.fieldNames()])
     return renamed(documents, names) if names else documents
 
 
