@@ -11,20 +11,23 @@ high-ratio text: layouts use such names for wrappers of the whole page.
 Every line has a ratio, its text characters outside links for each of its tags.
 The ratios are smoothed by a Gaussian along the page, and split by two-means
 into a high and a low cluster: lines of the high cluster are content. The
-content region is the ``article`` or ``main`` element with most content; if the
-page has none, the stretch from the first to the last content line, with the
+content region is the ``article`` or ``main`` element with most content, with
+the lines of the ``main`` around it and the other articles there with ``SIBLING``
+of its text or more; if the page has none, the stretch from the first to the last content line, with the
 headings before it and the rest of the division that holds most content. All
-lines of the region are kept, however short, but lines of links outside an
-article.
+lines of the region are kept, however short; outside an article lines of links
+go, unless one stands between two lines of text of the chosen division.
 
 Cases: a null or empty page, or one without text, gives an empty text; unclosed
-and wrongly nested elements are closed by their parents; repeated rows get
+and wrongly nested elements are closed by their parents, end tags without an element cost
+nothing, and tags that never end are text; repeated rows get
 equal answers; other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -38,6 +41,7 @@ from shelfmark.llm.common import table
 
 SIGMA = 1.0  # of the smoothing, in lines
 _FEED = 1 << 16
+SIBLING = 0.25  # share of the heaviest region's text that makes another one part of the article
 
 #: Fixed values of HTML.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,6 +79,7 @@ _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 _NEVER_OUT = {"html", "body", "main", "article"}
 #: Of readers, however long.
 _COMMENTS = re.compile(r".*(?:comment|disqus|replies|respond).*", re.IGNORECASE)
+_BEGINS = re.compile("<(?=[a-zA-Z/])")
 _HEADERS = re.compile(r"(?:(?:site|page|top|main|global)[-_]?)?header", re.IGNORECASE)
 
 
@@ -102,6 +107,8 @@ class Lines(HTMLParser):
         self.articles: set[int] = set()
         self.plain = False  # an article or main stands in no doubtful block
         self.text: list[str] = []
+        self.counts: Counter[str] = Counter()  # open elements by name
+        self.parents: dict[int, int] = {}  # of a region, the one it stands in
         self.tags = self.linked = self.links = self.regions = self.boxes = 0
 
     def _state(self) -> tuple[bool, int]:
@@ -165,6 +172,7 @@ class Lines(HTMLParser):
         ):
             if not region or tag == "article":
                 self.regions += 1
+                self.parents[self.regions] = region
                 region = self.regions
             self.plain |= not within
             main = tag == "main" or (given.get("role") or "").lower() == "main"
@@ -177,6 +185,7 @@ class Lines(HTMLParser):
         else:
             box = self.open[-1][3] if self.open else 0
         self.open.append((tag, gone, region, box, within))
+        self.counts[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -185,6 +194,8 @@ class Lines(HTMLParser):
 
     def _close(self, tags: set[str], within: set[str]) -> None:
         """Close the nearest open element of these names, if none of ``within`` is nearer."""
+        if not any(self.counts[t] for t in tags):
+            return
         for i in range(len(self.open) - 1, -1, -1):
             name = self.open[i][0]
             if name in tags:
@@ -195,6 +206,7 @@ class Lines(HTMLParser):
 
     def _pop(self, at: int) -> None:
         for name, gone, *_ in self.open[at:]:
+            self.counts[name] -= 1
             if name == "a" and not gone:
                 self.links -= 1
         del self.open[at:]
@@ -207,6 +219,8 @@ class Lines(HTMLParser):
             self.tags += 1
         if tag in _BLOCKS:
             self.flush()
+        if not self.counts[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self._pop(i)
@@ -267,9 +281,32 @@ def kept_lines(parser: Lines) -> list[Line]:
     return [x for x in lines if good.issuperset(x.within)]
 
 
+def together(parser: Lines, weight: dict[int, float], best: int) -> set[int]:
+    """Regions of the article: the heaviest, what it stands in, and what else stands there with
+    ``SIBLING`` of its text or more."""
+    above = {0}
+    region = best
+    while region:
+        above.add(region)
+        region = parser.parents[region]
+    root = min(above - {0})
+    kept = set(above)
+    for region, own in weight.items():
+        path = [region]
+        while parser.parents[path[-1]]:
+            path.append(parser.parents[path[-1]])
+        if path[-1] == root and own >= SIBLING * weight[best]:
+            kept.update(path)
+    return kept - {0}
+
+
 def main_text(html: str) -> str:
     """The article of a page, a line for each block."""
     parser = Lines()
+    # No tag ends behind the last bracket: what begins there is text, not looked through again.
+    end = html.rfind(">") + 1
+    if "<" in html[end:]:
+        html = html[:end] + _BEGINS.sub("&lt;", html[end:])
     for low in range(0, len(html), _FEED):
         parser.feed(html[low : low + _FEED])
     parser.close()
@@ -279,12 +316,15 @@ def main_text(html: str) -> str:
         return ""
     plain, content = ratios(lines)
     weight: dict[int, float] = {}
+    sizes: dict[int, float] = {}  # in characters, of all lines
     for line, own, chosen in zip(lines, plain, content, strict=True):
         if line.region:
+            sizes[line.region] = sizes.get(line.region, 0) + own
             weight[line.region] = weight.get(line.region, 0) + own * (1 if chosen else 1e-3)
     if weight:
         best = max(weight, key=lambda r: (weight[r], -r))
-        kept = [x.text for x in lines if x.region == best]
+        regions = together(parser, sizes, best)
+        kept = [x.text for x in lines if x.region in regions]
     else:
         at = np.flatnonzero(content)
         first, last = int(at[0]), int(at[-1])
@@ -296,7 +336,16 @@ def main_text(html: str) -> str:
         first, last = min(first, own[0]), max(last, own[-1])
         while first and lines[first - 1].heading:
             first -= 1
-        kept = [x.text for x in lines[first : last + 1] if 2 * x.linked < len(x.text)]
+        linked = [2 * x.linked >= len(x.text) for x in lines]
+        # A block of links between two of text of the article's own division stays.
+        kept = [
+            x.text
+            for i, x in enumerate(lines[first : last + 1], first)
+            if not linked[i]
+            or first < i < last
+            and not (linked[i - 1] or linked[i + 1])
+            and lines[i - 1].box == x.box == lines[i + 1].box == best
+        ]
     return "\n".join(kept)
 
 
