@@ -9,8 +9,10 @@ and late shares follow the schedule. Sorting by position gives the mix.
 
 Cases: null texts and texts without a word have size 0, take 0 words and have
 no position; a null source is a source of its own, last in order; repeated
-rows are separate documents; a null ``doc_id`` is ordered by text size alone;
-an empty table gives no row. Other columns are not read.
+rows are separate documents. The order is by a hash of id and text, so null and
+repeated ids spread like others, and only rows equal in both are ties: these
+have equal sizes, and which of them is cut short makes no difference. An empty
+table gives no row. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -110,7 +112,8 @@ def mix(docs: DataFrame, schedules=SCHEDULES, max_passes: int = MAX_PASSES) -> D
         "cast(doc_id AS long) AS doc_id",
         "cast(source AS string) AS source",
         r"cast(coalesce(regexp_count(text, '[^\\x20\\x09-\\x0D]+'), 0) AS long) AS size",
-        "coalesce(md5(cast(doc_id AS string)), '') AS _hash",
+        "md5(concat(coalesce(cast(doc_id AS string), ''), ':', coalesce(cast(text AS string), '')))"
+        " AS _hash",
         "xxhash64(text) AS text_hash",
     ).withColumn("_part", F.substring("_hash", 1, _DIGITS))
     sized = written(sized, "sizes")
@@ -128,7 +131,7 @@ def mix(docs: DataFrame, schedules=SCHEDULES, max_passes: int = MAX_PASSES) -> D
         placed AS (
             SELECT s.doc_id, s.text_hash, s.source, s.size, o.source_size, o.target, o._rank,
                    o._before + sum(s.size) OVER (
-                       PARTITION BY s.source, s._part ORDER BY s._hash, s.doc_id, s.size
+                       PARTITION BY s.source, s._part ORDER BY s._hash, s.doc_id, s.text_hash
                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - s.size AS _begin
             FROM _mix_sizes s JOIN offsets o ON s.source <=> o.source AND s._part = o._part),
         counted AS (
@@ -204,7 +207,7 @@ def op8_mixing(spark, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH sized AS (
-    SELECT doc_id, source, coalesce(md5(CAST(doc_id AS VARCHAR)), '') AS h,
+    SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS h,
            CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
     FROM documents),
 ranked AS (

@@ -330,6 +330,17 @@ def test_mixing(spark, docs, cases, no_docs):
     assert mixing.mix(no_docs).count() == 0
 
 
+def test_mixing_does_not_depend_on_the_order_of_reading(spark):
+    rows = [(None if i % 3 else 7, f"word{i} " + "same size " * 20, "web") for i in range(400)]
+    rows += [(1000 + i, "other words " * 200, "book") for i in range(20)]
+    schema = "doc_id long, text string, source string"
+    got = []
+    for order in (rows, rows[::-1]):
+        mixed = mixing.mix(spark.createDataFrame(order, schema).repartition(3))
+        got.append(sorted((r.text_hash, r.source, r.taken, tuple(r.positions)) for r in mixed.collect()))
+    assert got[0] == got[1]
+
+
 def test_schedules_integrate_to_the_weights(spark):
     assert [mixing.integral(s) for s in mixing.SCHEDULES] == [5.0, 2.0, 1.0]
     # The share of a source that is taken by a time follows the integral of its schedule.
