@@ -24,3 +24,12 @@ def spark():
 @pytest.fixture(scope="session")
 def sf():
     return SF
+
+
+@pytest.fixture(scope="module", autouse=True)
+def own_catalog(spark):
+    """Tables and views of a module are gone for the next, which may use the same names."""
+    yield
+    for t in spark.catalog.listTables():
+        if not t.isTemporary:
+            spark.sql(f"DROP {'VIEW' if t.tableType == 'VIEW' else 'TABLE'} `{t.name}`")
