@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfmark.plans import inputs
+from shelfmark.plans import inputs, queries
 from shelfmark.plans.queries import QUERIES
 
 
@@ -34,3 +34,19 @@ def test_spread_records_are_the_same(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(inputs, "ROWS", 50, raising=False)
     for name, rows in want.items():
         assert sorted(map(str, QUERIES[name](spark, folder).collect())) == rows
+
+
+def test_torn_stream_reads_messages_of_many_tasks(spark, tmp_path, monkeypatch):
+    """The stream's files are those of the tasks that made its messages: each is parsed apart."""
+    folder = parts(spark, tmp_path, [*range(400), *range(100)])
+    want = sorted(map(str, QUERIES["s_ingest_torn"](spark, folder).collect()))
+    made, write = [], queries.write_topic_files
+
+    def written(rows, topic, offset, *more):
+        made.append(per_task(rows))
+        write(rows, topic, offset, *more)
+
+    monkeypatch.setattr(queries, "write_topic_files", written)
+    monkeypatch.setattr(inputs, "ROWS", 100, raising=False)
+    assert sorted(map(str, QUERIES["s_ingest_torn"](spark, folder).collect())) == want
+    assert [sum(drop) for drop in made] == [250, 250] and max(map(max, made)) <= 100
